@@ -1,0 +1,53 @@
+"""Join of a large, possibly skewed side with a side that is unique per key."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+ROWS_PER_SLOT = 1_000_000
+HOT_KEYS = 1000
+NULL_SLOTS = 1 << 20
+
+
+def spread_join(
+    facts: DataFrame,
+    table: DataFrame,
+    key: str,
+    how: str,
+    spread: str,
+    sizes: DataFrame | None = None,
+    rows_per_slot: int = ROWS_PER_SLOT,
+) -> DataFrame:
+    """`facts` joined with `table` (at most one row per key) without one key filling one task.
+
+    Keys with more than `rows_per_slot` fact rows are split over as many slots as their size asks
+    for, by a hash of the column `spread`; the matching table rows are repeated once per slot. Only
+    the HOT_KEYS largest keys are split: that bounds the broadcast list, and any other key holds less
+    than a thousandth of the rows. Facts without a key never match, so they are spread freely.
+    `sizes` (key, n) may be given where the caller has counted already. Small tables still become
+    broadcast joins by the planner's own size check.
+    """
+    if sizes is None:
+        sizes = facts.groupBy(key).agg(F.count("*").alias("n"))
+    hot = (
+        sizes.where((F.col("n") > rows_per_slot) & F.col(key).isNotNull())
+        .orderBy(F.desc("n"), key)
+        .limit(HOT_KEYS)
+        .select(F.col(key).alias("_hot"), F.ceil(F.col("n") / rows_per_slot).cast("int").alias("_slots"))
+    )
+    place = F.xxhash64(spread)
+    spread_facts = (
+        facts.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+        .withColumn(
+            "_slot",
+            F.when(F.col(key).isNull(), F.pmod(place, F.lit(NULL_SLOTS)))
+            .when(F.col("_slots").isNotNull(), F.pmod(place, F.col("_slots")))
+            .otherwise(F.lit(0)).cast("int"),
+        )
+        .drop("_hot", "_slots")
+    )
+    repeated = (
+        table.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+        .withColumn("_slot", F.explode(F.sequence(F.lit(0), F.coalesce("_slots", F.lit(1)) - 1)))
+        .drop("_hot", "_slots")
+    )
+    return spread_facts.join(repeated, [key, "_slot"], how).drop("_slot")
