@@ -213,23 +213,53 @@ def classify_events(deliveries: DataFrame, ledger: DataFrame | None = None,
     return resolve_duplicates(classify_rows(deliveries), ledger, rows_per_slot)
 
 
-def outstanding_failures(rejects: DataFrame, successes: DataFrame, ledger: DataFrame | None = None,
+ATTEMPT = ["event_id", "event_type", "ledger_aggregate_id", "ord", "ok", "ledger_message"]
+
+
+def attempts(rows: DataFrame) -> DataFrame:
+    """The deliveries that reached the range checks and name their event, passed or not."""
+    reached = rows.where(F.col("verdict").isin("ok", "error") & F.col("event_id").isNotNull())
+    return with_messages(reached.withColumn("ok", passes())).select(*ATTEMPT)
+
+
+def stored_attempts(successes: DataFrame, rejects: DataFrame) -> DataFrame:
+    """The same from stored tables of successes and rejects."""
+    ok = successes.withColumn("ok", F.lit(True)).withColumnRenamed("aggregate_id", "ledger_aggregate_id")
+    failed = rejects.where((F.col("verdict") == "error") & F.col("event_id").isNotNull()).withColumn("ok", F.lit(False))
+    return (
+        ok.withColumn("ledger_message", F.lit(None).cast("string")).select(*ATTEMPT)
+        .unionByName(failed.select(*ATTEMPT))
+    )
+
+
+def recovered_ids(attempts: DataFrame) -> DataFrame:
+    """Ids that failed and succeeded, with the place of the success (`since`)."""
+    return (
+        attempts.groupBy("event_id")
+        .agg(F.min(F.when(F.col("ok"), F.col("ord"))).alias("since"),
+             F.count(F.when(~F.col("ok"), F.lit(1))).alias("failures"))
+        .where(F.col("since").isNotNull() & (F.col("failures") > 0))
+        .select("event_id", "since")
+    )
+
+
+def outstanding_failures(rejects: DataFrame, attempts: DataFrame, ledger: DataFrame | None = None,
                          rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
-    """Rejected deliveries that stay failures: not those that arrived after a success of their id.
+    """Rejected deliveries that stay failures: not those that came after a success of their id.
 
-    Few ids both fail and succeed, so the successes are first cut down to the failing ids; a short
-    list of those is broadcast by the planner and the large table of successes is not shuffled.
+    Only ids that both failed and succeeded are looked up. They are found by a hash aggregate over
+    two narrow columns; the rejects themselves are not regrouped.
     """
-    failing = rejects.where(F.col("verdict") == "error").select("event_id").distinct()
-    done = successes.select("event_id", F.col("ord").alias("_first"))
+    settled = recovered_ids(attempts)
     if ledger is not None:
-        done = done.unionByName(processed_ids(ledger).withColumn("_first", F.lit(-1).cast("long")))
-    done = (
-        done.join(failing, "event_id", "left_semi")
-        .groupBy(F.col("event_id").alias("_id")).agg(F.min("_first").alias("_first"))
-    )
-    late = spread_join(
+        failing = rejects.where(F.col("verdict") == "error").select("event_id").distinct()
+        before = processed_ids(ledger).join(failing, "event_id", "left_semi")
+        settled = (
+            settled.unionByName(before.withColumn("since", F.lit(-1).cast("long")))
+            .groupBy("event_id").agg(F.min("since").alias("since"))
+        )
+    joined = spread_join(
         rejects.withColumn("_id", F.when(F.col("verdict") == "error", F.col("event_id"))),
-        done, "_id", "left", "ord", rows_per_slot=rows_per_slot,
+        settled.withColumnRenamed("event_id", "_id"), "_id", "left", "ord", rows_per_slot=rows_per_slot,
     )
-    return late.where(F.col("_first").isNull() | (F.col("ord") < F.col("_first"))).drop("_id", "_first")
+    return joined.where(F.col("since").isNull() | (F.col("ord") < F.col("since"))).drop("_id", "since")

@@ -4,42 +4,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def ledger_entries(successes: DataFrame, failures: DataFrame) -> DataFrame:
+def ledger_entries(attempts: DataFrame) -> DataFrame:
     """One row per event id: `success`, or the message of its last failure.
 
-    Type and aggregate come from the delivery that opened the entry. Failures without an id or an
-    aggregate have no entry, and invalid deliveries never reach the ledger. `failures` are those
-    left by `outstanding_failures`; they are few, so the successes pass through one lookup and are
-    not regrouped.
+    Type and aggregate come from the delivery that opened the entry. Attempts without an aggregate
+    have no entry, and invalid deliveries never reach the ledger. One pass, folded map-side.
     """
-    failed = (
-        failures.where((F.col("verdict") == "error") & F.col("event_id").isNotNull()
-                       & F.col("ledger_aggregate_id").isNotNull())
-        .groupBy("event_id")
-        .agg(F.min_by(F.struct("event_type", "ledger_aggregate_id"), "ord").alias("opened"),
-             F.max_by("ledger_message", "ord").alias("error_message"))
-    )
-    recovered = successes.select("event_id").join(failed.select("event_id"), "event_id", "left_semi")
-    ok = successes.join(failed.select("event_id", "opened"), "event_id", "left").select(
-        "event_id",
-        F.coalesce("opened.event_type", "event_type").alias("event_type"),
-        F.coalesce("opened.ledger_aggregate_id", "aggregate_id").alias("aggregate_id"),
-        F.lit("success").alias("status"), F.lit(None).cast("string").alias("error_message"),
-    )
-    still_failed = failed.join(recovered, "event_id", "left_anti").select(
-        "event_id", "opened.event_type", F.col("opened.ledger_aggregate_id").alias("aggregate_id"),
-        F.lit("error").alias("status"), "error_message",
+    ok = F.col("ok")
+    return (
+        attempts.where(F.col("ledger_aggregate_id").isNotNull()).groupBy("event_id")
+        .agg(F.min_by(F.struct("event_type", F.col("ledger_aggregate_id").alias("aggregate_id")), "ord").alias("opened"),
+             F.bool_or(ok).alias("done"),
+             F.max_by("ledger_message", F.when(~ok, F.col("ord"))).alias("message"))
+        .select("event_id", "opened.event_type", "opened.aggregate_id",
+                F.when(F.col("done"), "success").otherwise("error").alias("status"),
+                F.when(~F.col("done"), F.col("message")).alias("error_message"))
     )
-    return ok.unionByName(still_failed)
 
 
 def merge_ledger(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Upsert by event id: status and message are replaced, type and aggregate stay as first written."""
+    """Upsert by event id: type and aggregate stay as first written; an id once successful stays so, as
+    its later deliveries are skipped."""
+    rank = F.when(F.col("status") == "success", F.col("_run") - 2).otherwise(-F.col("_run"))
     return (
         old.withColumn("_run", F.lit(0)).unionByName(new.withColumn("_run", F.lit(1)))
         .groupBy("event_id")
         .agg(F.min_by(F.struct("event_type", "aggregate_id"), "_run").alias("opened"),
-             F.max_by(F.struct("status", "error_message"), "_run").alias("latest"))
+             F.min_by(F.struct("status", "error_message"), rank).alias("latest"))
         .select("event_id", "opened.event_type", "opened.aggregate_id", "latest.status", "latest.error_message")
     )
 

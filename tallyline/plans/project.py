@@ -27,19 +27,19 @@ def project(deliveries: DataFrame, failed_at: Column | None = None, activity: Da
     `dead_letters` holds the new ones only. Every table is lazy and can be used by itself.
     """
     rows = C.classify_rows(deliveries)
-    return assemble(C.first_successes(rows, ledger), C.rejected(rows), failed_at, activity, ledger)
+    return assemble(C.first_successes(rows, ledger), C.rejected(rows), C.attempts(rows), failed_at, activity, ledger)
 
 
-def assemble(successes: DataFrame, rejects: DataFrame, failed_at: Column | None = None,
+def assemble(successes: DataFrame, rejects: DataFrame, attempts: DataFrame, failed_at: Column | None = None,
              activity: DataFrame | None = None, ledger: DataFrame | None = None) -> ReadModel:
-    failures = C.outstanding_failures(rejects, successes, ledger)
     delta = A.activity(successes)
     merged = delta if activity is None else A.merge_activity(activity, delta)
-    entries = G.ledger_entries(successes, failures)
+    entries = G.ledger_entries(attempts)
     return ReadModel(
         merged, A.item_stats(merged),
         entries if ledger is None else G.merge_ledger(ledger, entries),
-        D.dead_letters(failures, F.col("timestamp") if failed_at is None else failed_at),
+        D.dead_letters(C.outstanding_failures(rejects, attempts, ledger),
+                       F.col("timestamp") if failed_at is None else failed_at),
     )
 
 
@@ -54,8 +54,8 @@ def write_read_model(deliveries: DataFrame, root: str, failed_at: Column | None
     rows = C.classify_rows(deliveries)
     write_table(C.first_successes(rows, ledger), root, "successes")
     write_table(C.rejected(rows), root, "rejects")
-    model = assemble(read_table(spark, root, "successes"), read_table(spark, root, "rejects"),
-                     failed_at, activity, ledger)
+    successes, rejects = read_table(spark, root, "successes"), read_table(spark, root, "rejects")
+    model = assemble(successes, rejects, C.stored_attempts(successes, rejects), failed_at, activity, ledger)
     write_table(model.activity, root, "activity")
     write_table(A.item_stats(read_table(spark, root, "activity")), root, "item_stats")
     write_table(model.ledger, root, "ledger")

@@ -156,5 +156,5 @@ def read_stream_model(spark: SparkSession, root: str, failed_at: Column | None =
     successes = _batches(spark, root, "successes").where(F.col("batch_id") <= done).drop("batch_id")
     rejects = _batches(spark, root, "rejects").drop("batch_id")
     activity = current_activity(spark, root)
-    return assemble(successes, rejects, failed_at)._replace(
+    return assemble(successes, rejects, C.stored_attempts(successes, rejects), failed_at)._replace(
         activity=activity, item_stats=A.item_stats(activity))

@@ -16,7 +16,7 @@ from tallyline.operators import reports as R
 from tallyline.operators.versions import assign_versions
 from tallyline.plans import catalog as catalog_plan
 from tallyline.plans.ingest import ingest_commands
-from tallyline.plans.project import project, rebuild_read_model
+from tallyline.plans.project import project, read_read_model, rebuild_read_model, write_read_model
 from tallyline.session import run_dir
 from tallyline.sources import event_log as L
 from tallyline.sources import topic
@@ -72,6 +72,12 @@ def _dlq(spark, sf_dir):
     return project(I.deliveries(spark, sf_dir)).dead_letters
 
 
+def _stored(deliveries):
+    root = run_dir(deliveries.sparkSession, "model")
+    write_read_model(deliveries, root)
+    return read_read_model(deliveries.sparkSession, root)
+
+
 def _log(spark, sf_dir):
     result = ingest_commands(I.commands(spark, sf_dir), I.catalog(spark, sf_dir))
     return L.log_rows(result.events)
@@ -107,9 +113,9 @@ def item_stats(spark, sf_dir):
 
 @registered("incremental_item_stats")
 def incremental_item_stats(spark, sf_dir):
-    """An earlier run, then the rest on top of its activity and ledger."""
+    """An earlier run, stored, then the rest on top of its activity and ledger."""
     every = I.deliveries(spark, sf_dir)
-    earlier = project(_before(every))
+    earlier = _stored(_before(every))
     return project(_after(every), activity=earlier.activity, ledger=earlier.ledger).item_stats
 
 
@@ -139,9 +145,9 @@ def ledger(spark, sf_dir):
 
 @registered("incremental_ledger")
 def incremental_ledger(spark, sf_dir):
-    """All deliveries come again after an earlier run over the first part."""
+    """All deliveries come again after a stored run over the first part."""
     every = I.deliveries(spark, sf_dir)
-    return project(every, ledger=project(_before(every)).ledger).ledger
+    return project(every, ledger=_stored(_before(every)).ledger).ledger
 
 
 @registered("processing_summary")
