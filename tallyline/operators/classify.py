@@ -147,6 +147,28 @@ def rejected(rows: DataFrame) -> DataFrame:
     return with_messages(failed).select(*S.REJECT.fieldNames())
 
 
+def checked(rows: DataFrame) -> DataFrame:
+    """Every delivery with all that later steps need, as one narrow table to store: the raw text stays
+    only with failures."""
+    failed = F.col("verdict").isin("invalid", "error")
+    return with_messages(rows).select(
+        *[c for c in S.CHECKED.fieldNames() if c not in ("event_data", "rating")],
+        F.when(failed, F.col("event_data")).alias("event_data"),
+        F.when(F.col("verdict") == "ok", clean_rating(F.col("number"))).alias("rating"),
+    )
+
+
+def checked_successes(checked: DataFrame) -> DataFrame:
+    """`succeeding` from a stored `checked` table."""
+    return checked.where(F.col("verdict") == "ok").withColumn("aggregate_id", F.col("ledger_aggregate_id")).select(
+        *S.SUCCESS.fieldNames())
+
+
+def checked_rejects(checked: DataFrame) -> DataFrame:
+    """`rejected` from a stored `checked` table."""
+    return checked.where(F.col("verdict").isin("invalid", "error")).select(*S.REJECT.fieldNames())
+
+
 def first_delivery() -> Column:
     """Aggregate over event_id: the delivery that arrived first. Copies fold before the shuffle."""
     return F.min_by(F.struct(*PAYLOAD), "ord")
@@ -154,9 +176,11 @@ def first_delivery() -> Column:
 
 def first_successes(rows: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """One row per event id: the first delivery that passes, unless the ledger has its success."""
-    first = (
-        succeeding(rows).groupBy("event_id").agg(first_delivery().alias("p")).select("event_id", "p.*")
-    )
+    return first_of_each(succeeding(rows), ledger)
+
+
+def first_of_each(passing: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    first = passing.groupBy("event_id").agg(first_delivery().alias("p")).select("event_id", "p.*")
     if ledger is not None:
         first = first.join(processed_ids(ledger), "event_id", "left_anti")
     return first
@@ -232,15 +256,12 @@ def stored_attempts(successes: DataFrame, rejects: DataFrame) -> DataFrame:
     )
 
 
-def recovered_ids(attempts: DataFrame) -> DataFrame:
-    """Ids that failed and succeeded, with the place of the success (`since`)."""
-    return (
-        attempts.groupBy("event_id")
-        .agg(F.min(F.when(F.col("ok"), F.col("ord"))).alias("since"),
-             F.count(F.when(~F.col("ok"), F.lit(1))).alias("failures"))
-        .where(F.col("since").isNotNull() & (F.col("failures") > 0))
-        .select("event_id", "since")
-    )
+def failure_counts(attempts: DataFrame) -> DataFrame:
+    """Per id: how many failures, and the place of its first success (`since`), if any."""
+    return attempts.groupBy("event_id").agg(
+        F.min(F.when(F.col("ok"), F.col("ord"))).alias("since"),
+        F.count(F.when(~F.col("ok"), F.lit(1))).alias("n"),
+    ).where(F.col("n") > 0)
 
 
 def outstanding_failures(rejects: DataFrame, attempts: DataFrame, ledger: DataFrame | None = None,
@@ -248,18 +269,19 @@ def outstanding_failures(rejects: DataFrame, attempts: DataFrame, ledger: DataFr
     """Rejected deliveries that stay failures: not those that came after a success of their id.
 
     Only ids that both failed and succeeded are looked up. They are found by a hash aggregate over
-    two narrow columns; the rejects themselves are not regrouped.
+    two narrow columns, which also gives the sizes for the split of hot ids.
     """
-    settled = recovered_ids(attempts)
+    per_id = failure_counts(attempts).withColumnRenamed("event_id", "_id")
+    settled = per_id.where(F.col("since").isNotNull()).select("_id", "since")
     if ledger is not None:
         failing = rejects.where(F.col("verdict") == "error").select("event_id").distinct()
         before = processed_ids(ledger).join(failing, "event_id", "left_semi")
         settled = (
-            settled.unionByName(before.withColumn("since", F.lit(-1).cast("long")))
-            .groupBy("event_id").agg(F.min("since").alias("since"))
+            settled.unionByName(before.select(F.col("event_id").alias("_id"), F.lit(-1).cast("long").alias("since")))
+            .groupBy("_id").agg(F.min("since").alias("since"))
         )
     joined = spread_join(
         rejects.withColumn("_id", F.when(F.col("verdict") == "error", F.col("event_id"))),
-        settled.withColumnRenamed("event_id", "_id"), "_id", "left", "ord", rows_per_slot=rows_per_slot,
+        settled, "_id", "left", "ord", sizes=per_id.select("_id", "n"), rows_per_slot=rows_per_slot,
     )
     return joined.where(F.col("since").isNull() | (F.col("ord") < F.col("since"))).drop("_id", "since")

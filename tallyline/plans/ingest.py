@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.operators import commands as C
 from tallyline.operators.versions import assign_versions
+from tallyline.session import materialize
 from tallyline.sources import event_log as L
 
 
@@ -20,7 +21,8 @@ def ingest_commands(commands: DataFrame, catalog: DataFrame, log: DataFrame | No
     A resent command gives an event the log already has, so it is dropped before versions are given.
     """
     screened = C.screen_commands(commands, catalog)
-    fresh = L.new_events(log, C.commands_to_events(C.accepted(screened)))
+    # Numbering goes over its input twice, so the checks and the log lookup are stored once.
+    fresh = materialize(L.new_events(log, C.commands_to_events(C.accepted(screened))), "accepted")
     return Ingest(assign_versions(fresh, log), C.refused(screened))
 
 

@@ -47,14 +47,14 @@ def write_read_model(deliveries: DataFrame, root: str, failed_at: Column | None
                      activity: DataFrame | None = None, ledger: DataFrame | None = None) -> None:
     """Write all tables under `root`, a fresh folder.
 
-    The deliveries are parsed twice, once for the events that take effect and once for the rejects;
-    everything else starts from those two narrower tables, and statistics from the written activity.
+    The raw deliveries are read and parsed once, into `checked`, by verdict; successes and failures
+    then come from that narrower table, and the statistics from the written activity.
     """
     spark = deliveries.sparkSession
-    rows = C.classify_rows(deliveries)
-    write_table(C.first_successes(rows, ledger), root, "successes")
-    write_table(C.rejected(rows), root, "rejects")
-    successes, rejects = read_table(spark, root, "successes"), read_table(spark, root, "rejects")
+    write_table(C.checked(C.classify_rows(deliveries)), root, "checked", partition="verdict")
+    stored = read_table(spark, root, "checked")
+    write_table(C.first_of_each(C.checked_successes(stored), ledger), root, "successes")
+    successes, rejects = read_table(spark, root, "successes"), C.checked_rejects(stored)
     model = assemble(successes, rejects, C.stored_attempts(successes, rejects), failed_at, activity, ledger)
     write_table(model.activity, root, "activity")
     write_table(A.item_stats(read_table(spark, root, "activity")), root, "item_stats")

@@ -89,6 +89,14 @@ REJECT = table_schema(
     " topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP_NTZ, ord BIGINT"
 )
 
+# All deliveries after the row checks, as the batch plan stores them, by verdict.
+CHECKED = table_schema(
+    "event_id STRING, event_type STRING, aggregate_id STRING, anime_id INT, user_id STRING,"
+    " duration_seconds INT, rating RATING, occurred_at TIMESTAMP_NTZ, ord BIGINT, event_data STRING,"
+    " error_type STRING, error_message STRING, ledger_message STRING, ledger_aggregate_id STRING,"
+    " topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP_NTZ, verdict STRING"
+)
+
 DEAD_LETTER = table_schema(
     "dlq_id STRING, event_id STRING, event_type STRING, aggregate_id STRING, event_data STRING,"
     " error_type STRING, error_message STRING, kafka_topic STRING, kafka_partition INT,"

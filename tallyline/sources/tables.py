@@ -11,7 +11,7 @@ SCHEMAS = {
     "ledger": S.LEDGER,
     "dead_letters": S.DEAD_LETTER,
     "successes": S.SUCCESS,
-    "rejects": S.REJECT,
+    "checked": S.CHECKED,
     "catalog": S.CATALOG,
 }
 
@@ -20,9 +20,10 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}")
 
 
-def write_table(df: DataFrame, root: str, name: str, mode: str = "errorifexists") -> None:
-    """Only the columns of the schema, in its order and types."""
-    conform(df, SCHEMAS[name]).write.mode(mode).parquet(f"{root}/{name}")
+def write_table(df: DataFrame, root: str, name: str, partition: str | None = None) -> None:
+    """Only the columns of the schema, in its order and types; fails where the table exists."""
+    writer = conform(df, SCHEMAS[name]).write
+    (writer.partitionBy(partition) if partition else writer).parquet(f"{root}/{name}")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
