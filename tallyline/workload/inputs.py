@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, spread over the cores where the files have fewer splits than that: decoding is the
+    costly step and would run in one task. An input with enough splits is left as it is."""
+    events = table(spark, sf_dir, "events")
+    cores = spark.sparkContext.defaultParallelism
+    return events.repartition(cores, "event_id") if events.rdd.getNumPartitions() < cores else events
+
+
 def _facts(events: DataFrame) -> DataFrame:
     cents = F.round(F.col("value") * 100).cast("long")
     kind = F.col("event_type")
@@ -76,7 +84,7 @@ def as_deliveries(events: DataFrame) -> DataFrame:
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_deliveries(table(spark, sf_dir, "events"))
+    return as_deliveries(event_table(spark, sf_dir))
 
 
 def delivery_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +92,7 @@ def delivery_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = _facts(table(spark, sf_dir, "events"))
+    facts = _facts(event_table(spark, sf_dir))
     kind, bucket = F.col("src_type"), F.col("bucket")
     return facts.select(
         F.concat(F.lit("cmd-"), F.col("src_id").cast("string")).alias("command_id"),
