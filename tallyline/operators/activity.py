@@ -58,6 +58,7 @@ def activity(successes: DataFrame) -> DataFrame:
         F.max_by("rating", rated).alias("rating"),
         F.max_by("occurred_at", rated).alias("rated_at"),
         F.max(rated).alias("rating_ord"),
+        F.max("processed_at").alias("updated_at"),
     )
 
 
@@ -78,6 +79,7 @@ def merge_activity(*parts: DataFrame) -> DataFrame:
         F.max_by("rating", "rating_ord").alias("rating"),
         F.max_by("rated_at", "rating_ord").alias("rated_at"),
         F.max("rating_ord").alias("rating_ord"),
+        F.max("updated_at").alias("updated_at"),
     )
 
 
@@ -105,8 +107,9 @@ def item_stats(activity: DataFrame) -> DataFrame:
              F.sum("view_count").alias("total_views"),
              F.count("rating").alias("total_ratings"),
              F.sum(cents).alias("_cents"),
-             F.sum("total_duration_seconds").alias("total_duration_seconds"))
+             F.sum("total_duration_seconds").alias("total_duration_seconds"),
+             F.max("updated_at").alias("updated_at"))
         .select("anime_id", "total_clicks", "total_views", "total_ratings",
                 F.when(n > 0, half_up).otherwise(F.lit(0.0)).alias("average_rating"),
-                "total_duration_seconds")
+                "total_duration_seconds", "updated_at")
     )

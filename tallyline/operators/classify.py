@@ -104,12 +104,14 @@ def _broken_rule() -> Column:
     return F.coalesce(out_of_range, F.concat(F.lit(NULL_MESSAGE + "['"), unusable, F.lit("']")))
 
 
-def classify_rows(deliveries: DataFrame) -> DataFrame:
-    """Decode and check each delivery by itself; adds `verdict`.
+def classify_rows(deliveries: DataFrame, now: Column | None = None) -> DataFrame:
+    """Decode and check each delivery by itself; adds `verdict`, and `now` as the time of processing.
 
     Needs value, topic, partition, offset, timestamp. Row-local: no shuffle, streams as it is.
     """
-    return decode_rows(deliveries).withColumn("verdict", verdict())
+    moment = F.lit(None) if now is None else now
+    return decode_rows(deliveries).withColumn("verdict", verdict()).withColumn(
+        "processed_at", moment.cast("timestamp_ntz"))
 
 
 def with_messages(rows: DataFrame) -> DataFrame:
@@ -137,7 +139,7 @@ def succeeding(rows: DataFrame) -> DataFrame:
         "event_id", "event_type", E.ledger_aggregate_id().alias("aggregate_id"), "anime_id", "user_id",
         F.when(_is(S.VIEW), F.col("duration_seconds")).alias("duration_seconds"),
         F.when(_is(S.RATING), clean_rating(F.col("number"))).alias("rating"),
-        "occurred_at", "ord",
+        "occurred_at", "ord", "processed_at",
     )
 
 
@@ -237,7 +239,7 @@ def classify_events(deliveries: DataFrame, ledger: DataFrame | None = None,
     return resolve_duplicates(classify_rows(deliveries), ledger, rows_per_slot)
 
 
-ATTEMPT = ["event_id", "event_type", "ledger_aggregate_id", "ord", "ok", "ledger_message"]
+ATTEMPT = ["event_id", "event_type", "ledger_aggregate_id", "ord", "ok", "ledger_message", "processed_at"]
 
 
 def attempts(rows: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from tallyline import schemas as S
 DEFAULT_LIMIT = 100
 
 
-def dead_letters(failures: DataFrame, failed_at: Column) -> DataFrame:
-    """New dead letters. The id is a digest of the position and the error, so a retried job writes
+def dead_letters(failures: DataFrame) -> DataFrame:
+    """New dead letters, failed when they were processed, or else when they arrived. The id is a digest of the position and the error, so a retried job writes
     the same row again."""
     unknown = F.lit("unknown")
     return failures.select(
@@ -23,7 +23,7 @@ def dead_letters(failures: DataFrame, failed_at: Column) -> DataFrame:
         F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
-        failed_at.cast("timestamp_ntz").alias("failed_at"),
+        F.coalesce("processed_at", "timestamp").alias("failed_at"),
         F.lit(0).alias("retry_count"),
         F.lit(None).cast("timestamp_ntz").alias("last_retry_at"),
         F.lit("failed").alias("status"),
@@ -32,6 +32,11 @@ def dead_letters(failures: DataFrame, failed_at: Column) -> DataFrame:
     )
 
 
+def add_dead_letters(dlq: DataFrame, new: DataFrame) -> DataFrame:
+    """New letters added to the table; one that is there, whatever its status, stays as it is."""
+    return dlq.unionByName(new.join(dlq.select("dlq_id"), "dlq_id", "left_anti"))
+
+
 def dlq_list(dlq: DataFrame, status: str | None = None, limit: int = DEFAULT_LIMIT) -> DataFrame:
     """The latest failures, of one status or of all."""
     if status and status not in S.DLQ_STATUSES:

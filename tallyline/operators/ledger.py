@@ -15,10 +15,13 @@ def ledger_entries(attempts: DataFrame) -> DataFrame:
         attempts.where(F.col("ledger_aggregate_id").isNotNull()).groupBy("event_id")
         .agg(F.min_by(F.struct("event_type", F.col("ledger_aggregate_id").alias("aggregate_id")), "ord").alias("opened"),
              F.bool_or(ok).alias("done"),
+             F.min_by("processed_at", F.when(ok, F.col("ord"))).alias("done_at"),
+             F.max_by("processed_at", "ord").alias("tried_at"),
              F.max_by("ledger_message", F.when(~ok, F.col("ord"))).alias("message"))
         .select("event_id", "opened.event_type", "opened.aggregate_id",
                 F.when(F.col("done"), "success").otherwise("error").alias("status"),
-                F.when(~F.col("done"), F.col("message")).alias("error_message"))
+                F.when(~F.col("done"), F.col("message")).alias("error_message"),
+                F.when(F.col("done"), F.col("done_at")).otherwise(F.col("tried_at")).alias("processed_at"))
     )
 
 
@@ -30,8 +33,8 @@ def merge_ledger(old: DataFrame, new: DataFrame) -> DataFrame:
         old.withColumn("_run", F.lit(0)).unionByName(new.withColumn("_run", F.lit(1)))
         .groupBy("event_id")
         .agg(F.min_by(F.struct("event_type", "aggregate_id"), "_run").alias("opened"),
-             F.min_by(F.struct("status", "error_message"), rank).alias("latest"))
-        .select("event_id", "opened.event_type", "opened.aggregate_id", "latest.status", "latest.error_message")
+             F.min_by(F.struct("status", "error_message", "processed_at"), rank).alias("latest"))
+        .select("event_id", "opened.event_type", "opened.aggregate_id", "latest.*")
     )
 
 

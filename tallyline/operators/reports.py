@@ -7,7 +7,7 @@ from tallyline import schemas as S
 from tallyline.functions import display as D
 from tallyline.operators.catalog import check_anime_id
 
-STATS = S.ITEM_STATS.fieldNames()
+STATS = [c for c in S.ITEM_STATS.fieldNames() if c != "updated_at"]
 ITEM = ["myanimelist_id", "title", "description", "image", "type", "episodes", "score", "popularity"]
 DASHBOARD_ROWS = 10
 

@@ -1,8 +1,9 @@
 """Projection in batch: deliveries to activity, statistics, ledger and dead letters."""
 
+from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators import activity as A
@@ -20,17 +21,18 @@ class ReadModel(NamedTuple):
     dead_letters: DataFrame
 
 
-def project(deliveries: DataFrame, failed_at: Column | None = None, activity: DataFrame | None = None,
+def project(deliveries: DataFrame, now: datetime | None = None, activity: DataFrame | None = None,
             ledger: DataFrame | None = None) -> ReadModel:
     """The read model after `deliveries`, on top of an earlier `activity` and `ledger` if given.
 
-    `dead_letters` holds the new ones only. Every table is lazy and can be used by itself.
+    `now` is the one time of processing written to all tables. `dead_letters` holds the new ones only.
+    Every table is lazy and can be used by itself.
     """
-    rows = C.classify_rows(deliveries)
-    return assemble(C.first_successes(rows, ledger), C.rejected(rows), C.attempts(rows), failed_at, activity, ledger)
+    rows = C.classify_rows(deliveries, F.lit(now))
+    return assemble(C.first_successes(rows, ledger), C.rejected(rows), C.attempts(rows), activity, ledger)
 
 
-def assemble(successes: DataFrame, rejects: DataFrame, attempts: DataFrame, failed_at: Column | None = None,
+def assemble(successes: DataFrame, rejects: DataFrame, attempts: DataFrame,
              activity: DataFrame | None = None, ledger: DataFrame | None = None) -> ReadModel:
     delta = A.activity(successes)
     merged = delta if activity is None else A.merge_activity(activity, delta)
@@ -38,12 +40,11 @@ def assemble(successes: DataFrame, rejects: DataFrame, attempts: DataFrame, fail
     return ReadModel(
         merged, A.item_stats(merged),
         entries if ledger is None else G.merge_ledger(ledger, entries),
-        D.dead_letters(C.outstanding_failures(rejects, attempts, ledger),
-                       F.col("timestamp") if failed_at is None else failed_at),
+        D.dead_letters(C.outstanding_failures(rejects, attempts, ledger)),
     )
 
 
-def write_read_model(deliveries: DataFrame, root: str, failed_at: Column | None = None,
+def write_read_model(deliveries: DataFrame, root: str, now: datetime | None = None,
                      activity: DataFrame | None = None, ledger: DataFrame | None = None) -> None:
     """Write all tables under `root`, a fresh folder.
 
@@ -51,11 +52,11 @@ def write_read_model(deliveries: DataFrame, root: str, failed_at: Column | None
     then come from that narrower table, and the statistics from the written activity.
     """
     spark = deliveries.sparkSession
-    write_table(C.checked(C.classify_rows(deliveries)), root, "checked", partition="verdict")
+    write_table(C.checked(C.classify_rows(deliveries, F.lit(now))), root, "checked", partition="verdict")
     stored = read_table(spark, root, "checked")
     write_table(C.first_of_each(C.checked_successes(stored), ledger), root, "successes")
     successes, rejects = read_table(spark, root, "successes"), C.checked_rejects(stored)
-    model = assemble(successes, rejects, C.stored_attempts(successes, rejects), failed_at, activity, ledger)
+    model = assemble(successes, rejects, C.stored_attempts(successes, rejects), activity, ledger)
     write_table(model.activity, root, "activity")
     write_table(A.item_stats(read_table(spark, root, "activity")), root, "item_stats")
     write_table(model.ledger, root, "ledger")
@@ -66,6 +67,6 @@ def read_read_model(spark: SparkSession, root: str) -> ReadModel:
     return ReadModel(*[read_table(spark, root, name) for name in ReadModel._fields])
 
 
-def rebuild_read_model(log: DataFrame, order: str = "version") -> ReadModel:
+def rebuild_read_model(log: DataFrame, order: str = "version", now: datetime | None = None) -> ReadModel:
     """Replay the whole event log into a fresh read model."""
-    return project(L.as_deliveries(log, order))
+    return project(L.as_deliveries(log, order), now)

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 TYPES = {
     "STRING": T.StringType(), "INT": T.IntegerType(), "BIGINT": T.LongType(), "DOUBLE": T.DoubleType(),
-    "DATE": T.DateType(), "TIMESTAMP": T.TimestampType(), "TIMESTAMP_NTZ": T.TimestampNTZType(),
+    "DATE": T.DateType(), "TIMESTAMP_NTZ": T.TimestampNTZType(),
     "RATING": T.DecimalType(4, 2),
 }
 
@@ -55,13 +55,13 @@ EVENT_JSON = table_schema(
 
 EVENT_LOG = table_schema(
     "event_id STRING, event_type STRING, aggregate_id STRING, event_data STRING,"
-    " occurred_at TIMESTAMP_NTZ, version INT, metadata STRING, created_at TIMESTAMP, event_date DATE"
+    " occurred_at TIMESTAMP_NTZ, version INT, metadata STRING, created_at TIMESTAMP_NTZ, event_date DATE"
 )
 
 # One event per id that took effect.
 SUCCESS = table_schema(
     "event_id STRING, event_type STRING, aggregate_id STRING, anime_id INT, user_id STRING,"
-    " duration_seconds INT, rating RATING, occurred_at TIMESTAMP_NTZ, ord BIGINT"
+    " duration_seconds INT, rating RATING, occurred_at TIMESTAMP_NTZ, ord BIGINT, processed_at TIMESTAMP_NTZ"
 )
 
 # Per (item, user): clicks, views and the current rating side by side, each with the arrival
@@ -70,23 +70,25 @@ ACTIVITY = table_schema(
     "anime_id INT, user_id STRING,"
     " click_count BIGINT, last_click_at TIMESTAMP_NTZ, click_ord BIGINT,"
     " view_count BIGINT, total_duration_seconds BIGINT, last_view_at TIMESTAMP_NTZ, view_ord BIGINT,"
-    " rating RATING, rated_at TIMESTAMP_NTZ, rating_ord BIGINT"
+    " rating RATING, rated_at TIMESTAMP_NTZ, rating_ord BIGINT, updated_at TIMESTAMP_NTZ"
 )
 
 ITEM_STATS = table_schema(
     "anime_id INT, total_clicks BIGINT, total_views BIGINT, total_ratings BIGINT,"
-    " average_rating DOUBLE, total_duration_seconds BIGINT"
+    " average_rating DOUBLE, total_duration_seconds BIGINT, updated_at TIMESTAMP_NTZ"
 )
 
 LEDGER = table_schema(
-    "event_id STRING, event_type STRING, aggregate_id STRING, status STRING, error_message STRING"
+    "event_id STRING, event_type STRING, aggregate_id STRING, status STRING, error_message STRING,"
+    " processed_at TIMESTAMP_NTZ"
 )
 
 # Deliveries that failed the stateless checks, before duplicates are known.
 REJECT = table_schema(
     "event_id STRING, event_type STRING, aggregate_id STRING, event_data STRING, verdict STRING,"
     " error_type STRING, error_message STRING, ledger_message STRING, ledger_aggregate_id STRING,"
-    " topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP_NTZ, ord BIGINT"
+    " topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP_NTZ, ord BIGINT,"
+    " processed_at TIMESTAMP_NTZ"
 )
 
 # All deliveries after the row checks, as the batch plan stores them, by verdict.
@@ -94,7 +96,8 @@ CHECKED = table_schema(
     "event_id STRING, event_type STRING, aggregate_id STRING, anime_id INT, user_id STRING,"
     " duration_seconds INT, rating RATING, occurred_at TIMESTAMP_NTZ, ord BIGINT, event_data STRING,"
     " error_type STRING, error_message STRING, ledger_message STRING, ledger_aggregate_id STRING,"
-    " topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP_NTZ, verdict STRING"
+    " topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP_NTZ,"
+    " processed_at TIMESTAMP_NTZ, verdict STRING"
 )
 
 DEAD_LETTER = table_schema(

@@ -24,7 +24,7 @@ def log_rows(events: DataFrame, created_at=None) -> DataFrame:
     """Typed events as rows of the log."""
     return events.select(
         "event_id", "event_type", "aggregate_id", E.encode_event().alias("event_data"), "occurred_at",
-        "version", "metadata", F.lit(created_at).cast("timestamp").alias("created_at"),
+        "version", "metadata", F.lit(created_at).cast("timestamp_ntz").alias("created_at"),
         F.to_date("occurred_at").alias("event_date"),
     )
 

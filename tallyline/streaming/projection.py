@@ -52,12 +52,13 @@ def first_effects(rows: DataFrame) -> DataFrame:
     micro-batch is the one that brought it.
 
     The aggregate combines map-side, so an id delivered millions of times in a batch is one row per
-    task when it is shuffled. The micro-batch time is the same for a whole batch and on a rerun of it.
+    task when it is shuffled. `processed_at` is the time of the micro-batch: the same for a whole batch
+    and on a rerun of it.
     """
-    seen = F.current_timestamp()
     return (
-        C.succeeding(rows).withColumn("_seen", seen).groupBy("event_id")
-        .agg(C.first_delivery().alias("p"), F.min("_seen").alias("_first_seen"), F.max("_seen").alias("_last_seen"))
+        C.succeeding(rows).groupBy("event_id")
+        .agg(C.first_delivery().alias("p"), F.min("processed_at").alias("_first_seen"),
+             F.max("processed_at").alias("_last_seen"))
         .where(F.col("_first_seen") == F.col("_last_seen"))
         .select("event_id", "p.*")
     )
@@ -110,7 +111,7 @@ def run_projection_stream(deliveries: DataFrame, root: str, checkpoint: str, hor
     spark = deliveries.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     prepare(spark, root)
-    rows = C.classify_rows(deliveries)
+    rows = C.classify_rows(deliveries, F.current_timestamp())
     effects = first_effects(rows) if horizon is None else bounded_effects(rows, horizon)
     rejects = C.rejected(rows.observe("deliveries", *_counters()))
 
@@ -150,11 +151,11 @@ def compact(spark: SparkSession, root: str) -> int:
     return done
 
 
-def read_stream_model(spark: SparkSession, root: str, failed_at: Column | None = None) -> ReadModel:
+def read_stream_model(spark: SparkSession, root: str) -> ReadModel:
     """The read model as of the last finished micro-batch."""
     done = _last_mark(spark, f"{root}/progress")
     successes = _batches(spark, root, "successes").where(F.col("batch_id") <= done).drop("batch_id")
     rejects = _batches(spark, root, "rejects").drop("batch_id")
     activity = current_activity(spark, root)
-    return assemble(successes, rejects, C.stored_attempts(successes, rejects), failed_at)._replace(
+    return assemble(successes, rejects, C.stored_attempts(successes, rejects))._replace(
         activity=activity, item_stats=A.item_stats(activity))

@@ -53,7 +53,7 @@ def _successes(spark, sf_dir):
 
 
 def _stats(spark, sf_dir):
-    return A.item_stats(A.activity(_successes(spark, sf_dir)))
+    return A.item_stats(A.activity(_successes(spark, sf_dir))).select(*R.STATS)
 
 
 def _before(df, column="timestamp"):
@@ -103,7 +103,7 @@ def latest_ratings(spark, sf_dir):
 
 @registered("activity")
 def activity(spark, sf_dir):
-    return _plain(A.activity(_successes(spark, sf_dir)).drop("click_ord", "view_ord", "rating_ord"))
+    return _plain(A.activity(_successes(spark, sf_dir)).drop("click_ord", "view_ord", "rating_ord", "updated_at"))
 
 
 @registered("item_stats")
@@ -116,7 +116,7 @@ def incremental_item_stats(spark, sf_dir):
     """An earlier run, stored, then the rest on top of its activity and ledger."""
     every = I.deliveries(spark, sf_dir)
     earlier = _stored(_before(every))
-    return project(_after(every), activity=earlier.activity, ledger=earlier.ledger).item_stats
+    return project(_after(every), activity=earlier.activity, ledger=earlier.ledger).item_stats.select(*R.STATS)
 
 
 @registered("classify_events")
@@ -140,14 +140,14 @@ def drop_processed(spark, sf_dir):
 
 @registered("ledger")
 def ledger(spark, sf_dir):
-    return project(I.deliveries(spark, sf_dir)).ledger
+    return project(I.deliveries(spark, sf_dir)).ledger.drop("processed_at")
 
 
 @registered("incremental_ledger")
 def incremental_ledger(spark, sf_dir):
     """All deliveries come again after a stored run over the first part."""
     every = I.deliveries(spark, sf_dir)
-    return project(every, ledger=_stored(_before(every)).ledger).ledger
+    return project(every, ledger=_stored(_before(every)).ledger).ledger.drop("processed_at")
 
 
 @registered("processing_summary")
@@ -157,7 +157,7 @@ def processing_summary(spark, sf_dir):
 
 @registered("rebuild_read_model")
 def rebuild_stats(spark, sf_dir):
-    return rebuild_read_model(_log(spark, sf_dir)).item_stats
+    return rebuild_read_model(_log(spark, sf_dir)).item_stats.select(*R.STATS)
 
 
 @registered("stream_projection")
@@ -167,7 +167,7 @@ def stream_projection(spark, sf_dir):
     for query in P.run_projection_stream(
             I.delivery_stream(spark, sf_dir), f"{root}/model", f"{root}/state", availableNow=True):
         query.awaitTermination()
-    return P.read_stream_model(spark, f"{root}/model").item_stats
+    return P.read_stream_model(spark, f"{root}/model").item_stats.select(*R.STATS)
 
 
 # ---- reports ---------------------------------------------------------------------------

@@ -1,7 +1,9 @@
+from datetime import datetime
+
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import click, deliveries, event, rating, records, replay, view
+from tallyline import schemas as S
 from tallyline.operators import classify as C
 from tallyline.plans.project import project
 
@@ -52,8 +54,9 @@ def test_missing_key_wins_over_range(spark):
 @pytest.mark.parametrize("text", ["nope", "[1, 2]", '{"event_type": "ClickRegistered"', None, "5", ""])
 def test_malformed_text_is_a_dead_letter(spark, text):
     assert failure(spark, text)[:2] == ("invalid", "JSONDecodeError")
-    letter = project(deliveries(spark, text), F.lit("2024-01-01").cast("timestamp_ntz")).dead_letters.first()
+    letter = project(deliveries(spark, text), datetime(2024, 1, 1)).dead_letters.first()
     assert (letter.event_id, letter.event_type, letter.event_data) == ("unknown", "unknown", text)
+    assert letter.failed_at == datetime(2024, 1, 1)
 
 
 def test_unknown_types_are_skipped(spark):
@@ -77,8 +80,8 @@ def test_first_payload_wins(spark):
 
 def test_ledger_of_an_earlier_run(spark):
     ledger = spark.createDataFrame(
-        [("e1", "ClickRegistered", "anime_1", "success", None), ("e2", "ClickRegistered", "anime_1", "error", "m")],
-        "event_id string, event_type string, aggregate_id string, status string, error_message string")
+        [("e1", "ClickRegistered", "anime_1", "success", None, None), ("e2", "ClickRegistered", "anime_1", "error", "m", None)],
+        S.LEDGER)
     bodies = [click("e1"), click("e2"), click("e3"), view("e1", duration_seconds=-1)]
     assert outcomes(spark, *bodies, ledger=ledger) == ["duplicate", "success", "success", "duplicate"]
     rows = C.classify_rows(deliveries(spark, *bodies))

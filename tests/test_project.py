@@ -1,4 +1,5 @@
 import random
+from datetime import datetime
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -7,7 +8,9 @@ from helpers import click, deliveries, rating, records, replay, view
 from tallyline import schemas as S
 from tallyline.operators import activity as A
 from tallyline.operators import ledger as G
+from tallyline.operators.reports import STATS
 from tallyline.operators.classify import classify_events
+from tallyline.operators.dead_letters import add_dead_letters
 from tallyline.plans.project import project, read_read_model, write_read_model
 from tallyline.session import run_dir
 
@@ -16,7 +19,7 @@ def agrees(model, told):
     assert {(r[0], r[1]): (r[2], r[3].isoformat()) for r in A.clicks_table(model.activity).collect()} == told["clicks"]
     assert {(r[0], r[1]): (r[2], r[3], r[4].isoformat()) for r in A.views_table(model.activity).collect()} == told["views"]
     assert {(r[0], r[1]): r[2] for r in A.ratings_table(model.activity).collect()} == told["ratings"]
-    assert {r[0]: tuple(r)[1:] for r in model.item_stats.collect()} == told["stats"]
+    assert {r[0]: tuple(r)[1:] for r in model.item_stats.select(*STATS).collect()} == told["stats"]
     assert {r[0]: tuple(r)[1:4] for r in model.ledger.collect()} == told["ledger"]
     assert sorted(r.kafka_offset for r in model.dead_letters.collect()) == told["dead"]
 
@@ -62,7 +65,7 @@ def test_runs_add_up(spark):
         dead += [r.kafka_offset for r in model.dead_letters.collect()]
     told = replay(bodies)
     assert sorted(dead) == told["dead"]
-    assert {r[0]: tuple(r)[1:] for r in model.item_stats.collect()} == told["stats"]
+    assert {r[0]: tuple(r)[1:] for r in model.item_stats.select(*STATS).collect()} == told["stats"]
     assert {r[0]: tuple(r)[1:4] for r in ledger.collect()} == told["ledger"]
 
 
@@ -102,3 +105,19 @@ def test_no_sort_in_the_activity_plan(spark):
     plan = A.item_stats(A.merge_activity(spark.createDataFrame([], S.ACTIVITY)))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_time_of_processing(spark):
+    first, second = datetime(2024, 2, 1), datetime(2024, 3, 1)
+    roots = run_dir(spark, "test"), run_dir(spark, "test")
+    write_read_model(deliveries(spark, click("a"), view("v", -1), click("b", anime_id=2)), roots[0], first)
+    earlier = read_read_model(spark, roots[0])
+    write_read_model(deliveries(spark, click("a"), view("v", 4), view("w", -1), start=3), roots[1], second,
+                     earlier.activity, earlier.ledger)
+    later = read_read_model(spark, roots[1])
+    assert records(later.item_stats, "anime_id", "updated_at") == [(1, second), (2, first)]
+    assert records(later.ledger, "event_id", "status", "processed_at") == [
+        ("a", "success", first), ("b", "success", first), ("v", "success", second), ("w", "error", second)]
+    assert records(later.dead_letters, "event_id", "failed_at") == [("w", second)]
+    both = add_dead_letters(add_dead_letters(earlier.dead_letters, later.dead_letters), later.dead_letters)
+    assert records(both, "event_id") == [("v",), ("w",)]

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helpers import records
 from tallyline import schemas as S
@@ -8,7 +9,8 @@ from tallyline.operators import reports as R
 
 
 def stats(spark, *rows):
-    return spark.createDataFrame(list(rows), S.ITEM_STATS)
+    schema = T.StructType([S.ITEM_STATS[c] for c in R.STATS])
+    return spark.createDataFrame(list(rows), schema)
 
 
 def shown(spark, show, *values, kind="bigint"):

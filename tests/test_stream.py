@@ -51,7 +51,8 @@ def test_any_split_equals_the_batch(spark, feed):
     agrees(feed.model(), replay(bodies))
     batch = project(deliveries(spark, *bodies))
     for streamed, whole in zip(feed.model(), batch):
-        assert records(streamed.select(sorted(streamed.columns))) == records(whole.select(sorted(whole.columns)))
+        shared = sorted(set(whole.columns) - {"updated_at", "processed_at", "failed_at"})
+        assert records(streamed, *shared) == records(whole, *shared)
 
 
 def test_redelivery_restart_and_compaction(spark, feed):
