@@ -14,7 +14,7 @@ from tallyline import schemas as S
 from tallyline.functions import events as E
 from tallyline.functions.display import float_text
 from tallyline.functions.parsing import clean_rating
-from tallyline.operators.skew import ROWS_PER_SLOT, spread_join
+from tallyline.operators.skew import HOT_ROWS, hot_keys, spread_join
 
 # ---- fixed values: messages stored with failed events ----------------------------------
 
@@ -192,51 +192,46 @@ def processed_ids(ledger: DataFrame) -> DataFrame:
     return ledger.where(F.col("status") == "success").select("event_id")
 
 
-def drop_processed(rows: DataFrame, ledger: DataFrame, rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
+def drop_processed(rows: DataFrame, ledger: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Deliveries whose event id has no success in the ledger; ids that only failed may come again."""
     return spread_join(rows, processed_ids(ledger), "event_id", "left_anti", "ord",
-                       rows_per_slot=rows_per_slot)
+                       hot_rows=hot_rows)
 
 
 def resolve_duplicates(rows: DataFrame, ledger: DataFrame | None = None,
-                       rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
+                       hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds `outcome` to every delivery.
 
     The first passing delivery of an id is the success, whatever comes after it is a duplicate,
-    failures before it are errors. The first success is found by a hash aggregate and joined back;
-    an id with very many copies is split, see `spread_join`.
+    failures before it are errors. The first success is found by a hash aggregate; only ids delivered
+    more than once have to be looked up again, and an id with very many copies does not fill one task,
+    see `spread_join`.
     """
-    checked = F.col("verdict").isin("ok", "error")
-    per_id = (
-        rows.where(checked & F.col("event_id").isNotNull())
-        .groupBy("event_id")
-        .agg(F.min(F.when(passes(), F.col("ord"))).alias("_first"),
-             F.count("*").alias("n"))
-    )
-    sizes = per_id.select(F.col("event_id").alias("_id"), "n")
+    reached = F.col("verdict").isin("ok", "error")
+    keyed = rows.withColumn("_id", F.when(reached, F.col("event_id")))
+    per_id = keyed.where(F.col("_id").isNotNull()).groupBy("_id").agg(
+        F.min(F.when(passes(), F.col("ord"))).alias("_first"), F.count("*").alias("n"))
+    repeated = F.col("n") > 1
     if ledger is not None:
-        per_id = per_id.join(processed_ids(ledger).withColumn("_done", F.lit(True)), "event_id", "left")
-    else:
-        per_id = per_id.withColumn("_done", F.lit(False))
-    lookup = per_id.select(
-        F.col("event_id").alias("_id"), F.when(F.col("_done"), F.lit(-1)).otherwise(F.col("_first")).alias("_first")
-    )
-    joined = spread_join(
-        rows.withColumn("_id", F.when(checked, F.col("event_id"))), lookup, "_id", "left", "ord",
-        sizes=sizes, rows_per_slot=rows_per_slot,
-    )
+        done = processed_ids(ledger).select(F.col("event_id").alias("_id"), F.lit(True).alias("_done"))
+        per_id = per_id.join(done, "_id", "left").withColumn("_first", F.when(F.col("_done"), -1).otherwise(F.col("_first")))
+        repeated = repeated | F.col("_done")
+    lookup = per_id.where(repeated).select("_id", "_first")
+    hot = hot_keys(per_id.select("_id", "_first", "n"), "_id", hot_rows)
+    joined = spread_join(keyed, lookup, "_id", "left", "ord", hot=hot)
     outcome = (
-        F.when(~checked, F.col("verdict"))
+        F.when(~reached, F.col("verdict"))
         .when(F.col("ord") == F.col("_first"), "success")
         .when(F.col("ord") > F.col("_first"), "duplicate")
+        .when((F.col("verdict") == "ok") & F.col("_first").isNull(), "success")
         .otherwise("error")
     )
     return joined.withColumn("outcome", outcome).drop("_id", "_first")
 
 
 def classify_events(deliveries: DataFrame, ledger: DataFrame | None = None,
-                    rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
-    return resolve_duplicates(classify_rows(deliveries), ledger, rows_per_slot)
+                    hot_rows: int = HOT_ROWS) -> DataFrame:
+    return resolve_duplicates(classify_rows(deliveries), ledger, hot_rows)
 
 
 ATTEMPT = ["event_id", "event_type", "ledger_aggregate_id", "ord", "ok", "ledger_message", "processed_at"]
@@ -267,23 +262,22 @@ def failure_counts(attempts: DataFrame) -> DataFrame:
 
 
 def outstanding_failures(rejects: DataFrame, attempts: DataFrame, ledger: DataFrame | None = None,
-                         rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
+                         hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rejected deliveries that stay failures: not those that came after a success of their id.
 
     Only ids that both failed and succeeded are looked up. They are found by a hash aggregate over
     two narrow columns, which also gives the sizes for the split of hot ids.
     """
     per_id = failure_counts(attempts).withColumnRenamed("event_id", "_id")
-    settled = per_id.where(F.col("since").isNotNull()).select("_id", "since")
     if ledger is not None:
         failing = rejects.where(F.col("verdict") == "error").select("event_id").distinct()
-        before = processed_ids(ledger).join(failing, "event_id", "left_semi")
-        settled = (
-            settled.unionByName(before.select(F.col("event_id").alias("_id"), F.lit(-1).cast("long").alias("since")))
-            .groupBy("_id").agg(F.min("since").alias("since"))
-        )
+        before = processed_ids(ledger).join(failing, "event_id", "left_semi").select(
+            F.col("event_id").alias("_id"), F.lit(True).alias("_done"))
+        per_id = per_id.join(before, "_id", "left").withColumn("since", F.when(F.col("_done"), -1).otherwise(F.col("since")))
+    per_id = per_id.select("_id", "since", "n")
+    settled = per_id.where(F.col("since").isNotNull() & (F.col("n") > 0)).select("_id", "since")
     joined = spread_join(
         rejects.withColumn("_id", F.when(F.col("verdict") == "error", F.col("event_id"))),
-        settled, "_id", "left", "ord", sizes=per_id.select("_id", "n"), rows_per_slot=rows_per_slot,
+        settled, "_id", "left", "ord", hot=hot_keys(per_id, "_id", hot_rows),
     )
     return joined.where(F.col("since").isNull() | (F.col("ord") < F.col("since"))).drop("_id", "since")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tallyline import schemas as S
 from tallyline.functions import events as E
 from tallyline.functions.display import float_text
-from tallyline.operators.skew import ROWS_PER_SLOT, spread_join
+from tallyline.operators.skew import HOT_ROWS, spread_join
 
 # ---- fixed values: reasons and messages ------------------------------------------------
 
@@ -50,18 +50,18 @@ def validate_commands(commands: DataFrame) -> DataFrame:
         "reject_reason", F.when(F.col("reject_field").isNotNull(), VALIDATION))
 
 
-def check_item_exists(commands: DataFrame, catalog: DataFrame, rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
+def check_item_exists(commands: DataFrame, catalog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds `item_exists`. One item may draw a large part of all commands, see `spread_join`."""
     known = catalog.select(F.col("myanimelist_id").alias("anime_id")).distinct().withColumn("_known", F.lit(True))
     return (
-        spread_join(commands, known, "anime_id", "left", "command_id", rows_per_slot=rows_per_slot)
+        spread_join(commands, known, "anime_id", "left", "command_id", hot_rows=hot_rows)
         .withColumn("item_exists", F.coalesce("_known", F.lit(False))).drop("_known")
     )
 
 
-def screen_commands(commands: DataFrame, catalog: DataFrame, rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
+def screen_commands(commands: DataFrame, catalog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """All checks in their order (fields, existence, rating): adds `reject_reason`, `reject_message`."""
-    checked = check_item_exists(commands, catalog, rows_per_slot)
+    checked = check_item_exists(commands, catalog, hot_rows)
     problem = field_problem()
     low = (F.col("command_type") == "rating") & (F.col("rating") < S.MIN_RATING)
     return (

@@ -3,9 +3,17 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_SLOT = 1_000_000
-HOT_KEYS = 1000
-NULL_SLOTS = 1 << 20
+HOT_ROWS = 1_000_000
+HOT_KEYS = 10_000
+
+
+def hot_keys(sizes: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys with more than `hot_rows` rows by `sizes` (key, n, …), at most HOT_KEYS of them: that
+    bounds what is broadcast, and any other key holds less than a ten-thousandth of the rows."""
+    return (
+        sizes.where((F.col("n") > hot_rows) & F.col(key).isNotNull())
+        .orderBy(F.desc("n"), key).limit(HOT_KEYS).drop("n")
+    )
 
 
 def spread_join(
@@ -14,40 +22,44 @@ def spread_join(
     key: str,
     how: str,
     spread: str,
-    sizes: DataFrame | None = None,
-    rows_per_slot: int = ROWS_PER_SLOT,
+    hot: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """`facts` joined with `table` (at most one row per key) without one key filling one task.
 
-    Keys with more than `rows_per_slot` fact rows are split over as many slots as their size asks
-    for, by a hash of the column `spread`; the matching table rows are repeated once per slot. Only
-    the HOT_KEYS largest keys are split: that bounds the broadcast list, and any other key holds less
-    than a thousandth of the rows. Facts without a key never match, so they are spread freely.
-    `sizes` (key, n) may be given where the caller has counted already. Small tables still become
+    Hot keys get their table row from a broadcast list; in the join proper their facts, and those
+    without a key, carry the unique column `spread` in place of the key and so scatter. All other
+    facts meet the table by key. `hot` (key and the columns of `table`) may be given by a caller who
+    has counted already; it must also list hot keys that have no table row. Small tables still become
     broadcast joins by the planner's own size check.
     """
-    if sizes is None:
-        sizes = facts.groupBy(key).agg(F.count("*").alias("n"))
-    hot = (
-        sizes.where((F.col("n") > rows_per_slot) & F.col(key).isNotNull())
-        .orderBy(F.desc("n"), key)
-        .limit(HOT_KEYS)
-        .select(F.col(key).alias("_hot"), F.ceil(F.col("n") / rows_per_slot).cast("int").alias("_slots"))
-    )
-    place = F.xxhash64(spread)
-    spread_facts = (
-        facts.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
-        .withColumn(
-            "_slot",
-            F.when(F.col(key).isNull(), F.pmod(place, F.lit(NULL_SLOTS)))
-            .when(F.col("_slots").isNotNull(), F.pmod(place, F.col("_slots")))
-            .otherwise(F.lit(0)).cast("int"),
-        )
-        .drop("_hot", "_slots")
-    )
-    repeated = (
-        table.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
-        .withColumn("_slot", F.explode(F.sequence(F.lit(0), F.coalesce("_slots", F.lit(1)) - 1)))
-        .drop("_hot", "_slots")
-    )
-    return spread_facts.join(repeated, [key, "_slot"], how).drop("_slot")
+    payload = [c for c in table.columns if c != key]
+    marked = table.withColumn("_match", F.lit(True))
+    if hot is None:
+        heavy = hot_keys(facts.groupBy(key).agg(F.count("*").alias("n")), key, hot_rows)
+        found = marked.join(F.broadcast(heavy), key, "left_semi")
+        hot = heavy.join(F.broadcast(found), key, "left")
+    else:
+        hot = hot.withColumn("_match", F.lit(True))
+
+    def renamed(df: DataFrame, prefix: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(prefix + c) for c in (key, *payload, "_match")])
+
+    listed = F.col(f"_h_{key}").isNotNull()
+    apart = listed | F.col(key).isNull()
+    facts = facts.join(F.broadcast(renamed(hot, "_h_")), F.col(key) == F.col(f"_h_{key}"), "left")
+    facts = facts.withColumn("_at", F.when(apart, F.concat(F.lit("\0"), F.col(spread).cast("string")))
+                             .otherwise(F.col(key).cast("string")))
+    joined = facts.join(
+        renamed(marked, "_t_"), (F.col("_at") == F.col(f"_t_{key}").cast("string")) & ~apart, "left")
+
+    def answer(c: str):
+        return F.when(listed, F.col("_h_" + c)).otherwise(F.col("_t_" + c))
+
+    matched = F.coalesce(answer("_match"), F.lit(False))
+    if how in ("inner", "left_semi"):
+        joined = joined.where(matched)
+    elif how == "left_anti":
+        joined = joined.where(~matched)
+    own = [c for c in facts.columns if not c.startswith("_h_") and c != "_at"]
+    return joined.select(*own, *[answer(c).alias(c) for c in payload if how in ("inner", "left")])

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyline import schemas as S
 from tallyline.functions import events as E
-from tallyline.operators.skew import ROWS_PER_SLOT, spread_join
+from tallyline.operators.skew import HOT_ROWS, spread_join
 
 REPLAY_TOPIC = "event_log"
 
@@ -42,7 +42,7 @@ def new_events(log: DataFrame | None, batch: DataFrame) -> DataFrame:
     )
     if log is None:
         return first
-    known = log.select("event_id").join(batch.select("event_id"), "event_id", "left_semi")
+    known = log.select("event_id").join(batch.select("event_id").distinct(), "event_id", "left_semi")
     return first.join(known, "event_id", "left_anti")
 
 
@@ -69,12 +69,12 @@ def events_for_aggregate(log: DataFrame, aggregate_id: str, from_version: int =
     )
 
 
-def events_for_aggregates(log: DataFrame, requests: DataFrame, rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
+def events_for_aggregates(log: DataFrame, requests: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The same for many aggregates: `requests` has aggregate_id and from_version."""
     since = requests.groupBy("aggregate_id").agg(F.min("from_version").alias("from_version"))
     rows = log.select("event_id", "aggregate_id", "version", "event_data")
     return (
-        spread_join(rows, since, "aggregate_id", "inner", "event_id", rows_per_slot=rows_per_slot)
+        spread_join(rows, since, "aggregate_id", "inner", "event_id", hot_rows=hot_rows)
         .where(F.col("version") > F.col("from_version"))
         .orderBy("aggregate_id", "version", "event_id")
         .select("aggregate_id", "version", "event_data")

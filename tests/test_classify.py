@@ -92,7 +92,7 @@ def test_ledger_of_an_earlier_run(spark):
 
 def test_hot_ids_are_split_without_changing_outcomes(spark):
     bodies = [view("hot", duration_seconds=-1)] * 3 + [view("hot")] * 40 + [click(f"e{i}") for i in range(10)]
-    assert outcomes(spark, *bodies, rows_per_slot=4) == replay(bodies)["outcomes"]
+    assert outcomes(spark, *bodies, hot_rows=4) == replay(bodies)["outcomes"]
     rows = C.classify_rows(deliveries(spark, *bodies))
-    open_failures = C.outstanding_failures(C.rejected(rows), C.attempts(rows), rows_per_slot=1)
+    open_failures = C.outstanding_failures(C.rejected(rows), C.attempts(rows), hot_rows=1)
     assert records(open_failures, "offset") == [(0,), (1,), (2,)]
