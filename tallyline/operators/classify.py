@@ -183,9 +183,11 @@ def first_successes(rows: DataFrame, ledger: DataFrame | None = None) -> DataFra
 
 
 def first_of_each(passing: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    """The ledger is first cut down to the ids at hand: a broadcast probe for a small batch."""
     first = passing.groupBy("event_id").agg(first_delivery().alias("p")).select("event_id", "p.*")
     if ledger is not None:
-        first = first.join(processed_ids(ledger), "event_id", "left_anti")
+        known = processed_ids(ledger).join(passing.select("event_id").distinct(), "event_id", "left_semi")
+        first = first.join(known, "event_id", "left_anti")
     return first
 
 

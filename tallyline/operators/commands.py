@@ -51,10 +51,11 @@ def validate_commands(commands: DataFrame) -> DataFrame:
 
 
 def check_item_exists(commands: DataFrame, catalog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Adds `item_exists`. One item may draw a large part of all commands, see `spread_join`."""
+    """Adds `item_exists`. One item, or copies of one command, may make up a large part of all commands,
+    see `spread_join`."""
     known = catalog.select(F.col("myanimelist_id").alias("anime_id")).distinct().withColumn("_known", F.lit(True))
     return (
-        spread_join(commands, known, "anime_id", "left", "command_id", hot_rows=hot_rows)
+        spread_join(commands, known, "anime_id", "left", hot_rows=hot_rows)
         .withColumn("item_exists", F.coalesce("_known", F.lit(False))).drop("_known")
     )
 

@@ -21,18 +21,23 @@ def spread_join(
     table: DataFrame,
     key: str,
     how: str,
-    spread: str,
+    spread: str | None = None,
     hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """`facts` joined with `table` (at most one row per key) without one key filling one task.
 
-    Hot keys get their table row from a broadcast list; in the join proper their facts, and those
-    without a key, carry the unique column `spread` in place of the key and so scatter. All other
-    facts meet the table by key. `hot` (key and the columns of `table`) may be given by a caller who
-    has counted already; it must also list hot keys that have no table row. Small tables still become
-    broadcast joins by the planner's own size check.
+    Hot keys get their table row from a broadcast list, all other facts meet the table by key; facts
+    without a key match nothing. With `spread`, a column unique among the facts, hot facts and those
+    without a key carry it in place of the key, so one pass scatters them over the tasks. Without it
+    (rows may be copies of one another) they are set aside before the join and not shuffled at all,
+    which reads the facts once more.
+
+    `hot` (key and the columns of `table`) may be given by a caller who has counted already; it must
+    also list hot keys that have no table row. Small tables still become broadcast joins by the
+    planner's own size check.
     """
+    own = facts.columns
     payload = [c for c in table.columns if c != key]
     marked = table.withColumn("_match", F.lit(True))
     if hot is None:
@@ -48,18 +53,19 @@ def spread_join(
     listed = F.col(f"_h_{key}").isNotNull()
     apart = listed | F.col(key).isNull()
     facts = facts.join(F.broadcast(renamed(hot, "_h_")), F.col(key) == F.col(f"_h_{key}"), "left")
-    facts = facts.withColumn("_at", F.when(apart, F.concat(F.lit("\0"), F.col(spread).cast("string")))
-                             .otherwise(F.col(key).cast("string")))
-    joined = facts.join(
-        renamed(marked, "_t_"), (F.col("_at") == F.col(f"_t_{key}").cast("string")) & ~apart, "left")
-
-    def answer(c: str):
-        return F.when(listed, F.col("_h_" + c)).otherwise(F.col("_t_" + c))
+    if spread is None:
+        aside = facts.where(apart).select(*own, *[F.col("_h_" + c).alias(c) for c in (*payload, "_match")])
+        joined = facts.where(~apart).select(*own).join(marked, key, "left").select(*aside.columns).unionByName(aside)
+    else:
+        place = F.when(apart, F.concat(F.lit("\0"), F.col(spread).cast("string"))).otherwise(F.col(key).cast("string"))
+        met = facts.withColumn("_at", place).join(
+            renamed(marked, "_t_"), (F.col("_at") == F.col(f"_t_{key}").cast("string")) & ~apart, "left")
+        joined = met.select(*own, *[
+            F.when(listed, F.col("_h_" + c)).otherwise(F.col("_t_" + c)).alias(c) for c in (*payload, "_match")])
 
-    matched = F.coalesce(answer("_match"), F.lit(False))
+    matched = F.coalesce("_match", F.lit(False))
     if how in ("inner", "left_semi"):
         joined = joined.where(matched)
     elif how == "left_anti":
         joined = joined.where(~matched)
-    own = [c for c in facts.columns if not c.startswith("_h_") and c != "_at"]
-    return joined.select(*own, *[answer(c).alias(c) for c in payload if how in ("inner", "left")])
+    return joined.select(*own, *(payload if how in ("inner", "left") else []))

@@ -206,6 +206,8 @@ ORACLE: dict[str, str] = {
     "item_stats": sql("stats", f"SELECT {STATS} FROM stats"),
     "incremental_item_stats": sql("stats", f"SELECT {STATS} FROM stats"),
     "stream_projection": sql("stats", f"SELECT {STATS} FROM stats"),
+    "stream_ledger": sql("entries", "SELECT * FROM entries"),
+    "stream_dead_letters": sql("dead", "SELECT * EXCLUDE (failed_at) FROM dead"),
     "classify_events": sql("resolved", """
         SELECT 'anime-events' AS topic, CAST(part AS INT) AS partition, ofs AS "offset",
                CASE WHEN NOT cut_off THEN id END AS event_id, CASE WHEN NOT cut_off THEN kind END AS event_type, outcome

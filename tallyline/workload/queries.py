@@ -160,14 +160,28 @@ def rebuild_stats(spark, sf_dir):
     return rebuild_read_model(_log(spark, sf_dir)).item_stats.select(*R.STATS)
 
 
-@registered("stream_projection")
-def stream_projection(spark, sf_dir):
+def _streamed(spark, sf_dir):
     """The two streaming queries run until the input is used up; then the stored model is read."""
     root = run_dir(spark, "stream")
     for query in P.run_projection_stream(
             I.delivery_stream(spark, sf_dir), f"{root}/model", f"{root}/state", availableNow=True):
         query.awaitTermination()
-    return P.read_stream_model(spark, f"{root}/model").item_stats.select(*R.STATS)
+    return P.read_stream_model(spark, f"{root}/model")
+
+
+@registered("stream_projection")
+def stream_projection(spark, sf_dir):
+    return _streamed(spark, sf_dir).item_stats.select(*R.STATS)
+
+
+@registered("stream_ledger")
+def stream_ledger(spark, sf_dir):
+    return _streamed(spark, sf_dir).ledger.drop("processed_at")
+
+
+@registered("stream_dead_letters")
+def stream_dead_letters(spark, sf_dir):
+    return _streamed(spark, sf_dir).dead_letters.drop("failed_at")
 
 
 # ---- reports ---------------------------------------------------------------------------

@@ -16,10 +16,11 @@ def sides(spark):
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 @pytest.mark.parametrize("hot_rows", [1, 7, 10**6])
-def test_same_rows_as_a_plain_join(sides, how, hot_rows):
+@pytest.mark.parametrize("spread", ["row", None])
+def test_same_rows_as_a_plain_join(sides, how, hot_rows, spread):
     facts, table = sides
     plain = facts.join(table, "key", how)
-    assert records(spread_join(facts, table, "key", how, "row", hot_rows=hot_rows), *plain.columns) == records(plain)
+    assert records(spread_join(facts, table, "key", how, spread, hot_rows=hot_rows), *plain.columns) == records(plain)
 
 
 def test_hot_and_null_keys_are_spread(spark, sides):
@@ -36,3 +37,19 @@ def test_hot_and_null_keys_are_spread(spark, sides):
         for k, v in saved.items():
             spark.conf.set(k, v)
     assert places["hot"] == 4 and places[None] == 4 and places["k1"] == 1
+
+
+def test_copies_are_not_shuffled(spark):
+    """Equal rows cannot be scattered by a column; they stay where they are."""
+    facts = spark.range(400).select(F.lit("hot").alias("key"), F.lit("same").alias("row"))
+    table = spark.createDataFrame([("hot", 1), ("k", 2)], "key string, v int")
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        joined = spread_join(facts, table, "key", "left", hot_rows=10)
+        sizes = joined.groupBy(F.spark_partition_id().alias("p"), "v").count().collect()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert {r.v for r in sizes} == {1} and sum(r["count"] for r in sizes) == 400 and len(sizes) == 8
