@@ -311,3 +311,17 @@ ORACLE: dict[str, str] = {
         SELECT myanimelist_id, title, description, type, NULL, episodes, score, popularity, NULL FROM catalog
         WHERE myanimelist_id NOT IN (SELECT l_partkey + 1 FROM lineitem)"""),
 }
+
+# Integers that may be NULL, as doubles on both sides.
+_NULLABLE = {
+    "item_detail": "episodes popularity total_clicks total_views total_ratings total_duration_seconds",
+    "top_items": "episodes popularity",
+    "check_item_exists": "anime_id",
+    "commands_to_events": "duration_seconds",
+    "clean_catalog": "episodes ranked members",
+    "load_catalog": "episodes ranked members",
+    "upsert_catalog": "episodes popularity members",
+}
+for _name, _columns in _NULLABLE.items():
+    _casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _columns.split())
+    ORACLE[_name] = f"SELECT * REPLACE ({_casts}) FROM ({ORACLE[_name]})"

@@ -68,6 +68,11 @@ def _plain(df):
     return df.withColumn("rating", F.col("rating").cast("double"))
 
 
+def _doubles(df, *columns):
+    """Integers that may be NULL, as doubles: a data frame library would make them so on one side only."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 def _dlq(spark, sf_dir):
     return project(I.deliveries(spark, sf_dir)).dead_letters
 
@@ -221,12 +226,15 @@ def item_for_ids(spark, sf_dir):
 
 @registered("item_detail")
 def item_detail(spark, sf_dir):
-    return R.item_detail(I.catalog(spark, sf_dir), _stats(spark, sf_dir))
+    detail = R.item_detail(I.catalog(spark, sf_dir), _stats(spark, sf_dir))
+    return _doubles(detail, "episodes", "popularity", "total_clicks", "total_views", "total_ratings",
+                    "total_duration_seconds")
 
 
 @registered("top_items")
 def top_items(spark, sf_dir):
-    return R.top_items(R.shape_stats(R.top_by_views(_stats(spark, sf_dir))), I.catalog(spark, sf_dir))
+    top = R.shape_stats(R.top_by_views(_stats(spark, sf_dir)))
+    return _doubles(R.top_items(top, I.catalog(spark, sf_dir)), "episodes", "popularity")
 
 
 @registered("search_items")
@@ -291,8 +299,8 @@ def validate_commands(spark, sf_dir):
 
 @registered("check_item_exists")
 def check_item_exists(spark, sf_dir):
-    return M.check_item_exists(I.commands(spark, sf_dir), I.catalog(spark, sf_dir)).select(
-        "command_id", "anime_id", "item_exists")
+    checked = M.check_item_exists(I.commands(spark, sf_dir), I.catalog(spark, sf_dir))
+    return _doubles(checked.select("command_id", "anime_id", "item_exists"), "anime_id")
 
 
 @registered("screen_commands")
@@ -301,14 +309,14 @@ def screen_commands(spark, sf_dir):
         "command_id", "reject_reason", "reject_message")
 
 
-@registered("commands_to_events")
-def commands_to_events(spark, sf_dir):
+def _events(spark, sf_dir):
     screened = M.screen_commands(I.commands(spark, sf_dir), I.catalog(spark, sf_dir))
     return M.commands_to_events(M.accepted(screened))
 
 
-def _events(spark, sf_dir):
-    return commands_to_events(spark, sf_dir)
+@registered("commands_to_events")
+def commands_to_events(spark, sf_dir):
+    return _doubles(_events(spark, sf_dir), "duration_seconds")
 
 
 @registered("append_events")
@@ -356,7 +364,7 @@ CLEAN = ["myanimelist_id", "title", "description", "type", "episodes", "released
 
 @registered("clean_catalog")
 def clean_catalog(spark, sf_dir):
-    return C.clean_catalog(I.raw_catalog(spark, sf_dir)).select(*CLEAN)
+    return _doubles(C.clean_catalog(I.raw_catalog(spark, sf_dir)).select(*CLEAN), "episodes", "ranked", "members")
 
 
 @registered("load_catalog")
@@ -364,10 +372,12 @@ def load_catalog(spark, sf_dir):
     """The untidy catalog goes through CSV files and into the existing catalog."""
     path = run_dir(spark, "catalog-csv")
     write_catalog_csv(I.raw_catalog(spark, sf_dir), path)
-    return catalog_plan.load_catalog(spark, I.catalog(spark, sf_dir), path).catalog.select(*CLEAN)
+    loaded = catalog_plan.load_catalog(spark, I.catalog(spark, sf_dir), path).catalog
+    return _doubles(loaded.select(*CLEAN), "episodes", "ranked", "members")
 
 
 @registered("upsert_catalog")
 def upsert_catalog(spark, sf_dir):
-    return C.upsert_catalog(I.catalog(spark, sf_dir), I.catalog_updates(spark, sf_dir), "load_seq").select(
+    merged = C.upsert_catalog(I.catalog(spark, sf_dir), I.catalog_updates(spark, sf_dir), "load_seq").select(
         "myanimelist_id", "title", "description", "type", "status", "episodes", "score", "popularity", "members")
+    return _doubles(merged, "episodes", "popularity", "members")
