@@ -52,4 +52,4 @@ def clean_year(c: Column) -> Column:
 
 def clean_rating(c: Column) -> Column:
     """Two decimals, half up. The type holds 10.00, the top of the scale."""
-    return c.cast("decimal(4,2)")
+    return c.try_cast("decimal(4,2)")

@@ -155,9 +155,10 @@ def checked(rows: DataFrame) -> DataFrame:
     only with failures."""
     failed = F.col("verdict").isin("invalid", "error")
     return with_messages(rows).select(
-        *[c for c in S.CHECKED.fieldNames() if c not in ("event_data", "rating")],
+        *[c for c in S.CHECKED.fieldNames() if c not in ("event_data", "duration_seconds", "rating")],
         F.when(failed, F.col("event_data")).alias("event_data"),
-        F.when(F.col("verdict") == "ok", clean_rating(F.col("number"))).alias("rating"),
+        F.when(_is(S.VIEW), F.col("duration_seconds")).alias("duration_seconds"),
+        F.when(_is(S.RATING) & (F.col("verdict") == "ok"), clean_rating(F.col("number"))).alias("rating"),
     )
 
 

@@ -6,7 +6,6 @@ from tallyline import schemas as S
 from tallyline.functions import parsing as P
 from tallyline.operators import catalog as C
 from tallyline.plans.catalog import load_catalog
-from tallyline.session import run_dir
 from tallyline.sources.catalog_csv import read_catalog_csv
 
 HEADER = "myanimelist_id,title,description,Type,Episodes,Released_Year,Score,Members,characters"

@@ -121,3 +121,13 @@ def test_time_of_processing(spark):
     assert records(later.dead_letters, "event_id", "failed_at") == [("w", second)]
     both = add_dead_letters(add_dead_letters(earlier.dead_letters, later.dead_letters), later.dead_letters)
     assert records(both, "event_id") == [("v",), ("w",)]
+
+
+def test_fields_of_another_type_are_ignored(spark):
+    """A click may carry a rating or a duration of any size."""
+    bodies = [click("a", rating=123456.0, duration_seconds=-9), view("b", 5, rating=99.0), rating("c", 7.0, duration_seconds=-1)]
+    told = replay(bodies)
+    agrees(project(deliveries(spark, *bodies)), told)
+    root = run_dir(spark, "test")
+    write_read_model(deliveries(spark, *bodies), root)
+    agrees(read_read_model(spark, root), told)
