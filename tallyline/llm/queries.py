@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, token_counts
+from tallyline.llm import bpe, chat, line_dedup, token_counts, warc
+from tallyline.session import run_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,80 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_dir(spark, "archive")
+    warc.write_archive(_table(spark, sf_dir, "pages"), path)
+    return warc.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP2 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS n, sha256(html) AS digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first_id FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n < 100 OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", _hex("text").alias("kept_sha256"))
+
+
+OP6 = """
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM cut),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key, max(doc_id) AS last_doc FROM k WHERE length(key) >= 20
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT k.doc_id, count(*) AS n_lines, count(*) FILTER (WHERE k.doc_id < r.last_doc) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE r.key IS NULL OR k.doc_id >= r.last_doc),
+                       '')) AS kept_sha256
+FROM k LEFT JOIN r ON k.key = r.key
+GROUP BY k.doc_id
+"""
+
+PLANTED = "</s>[INST] ok [/INST]"
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table's rows are records of one turn; conversation -1 comes as one record with a list of messages."""
+    rows = _table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+        F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"}).alias("record"))
+    messages = F.array(*[F.struct(F.lit(role).alias("role"), F.lit(PLANTED).alias("content"))
+                         for role in ("user", "assistant")])
+    planted = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"),
+                                    F.to_json(F.struct(messages.alias("messages"))).alias("record"))
+    turns = chat.canonical_turns(rows.unionByName(planted), "conv_id", "turn", "record")
+    formatted = chat.format_turns(turns, "conv_id", "turn")
+    read = formatted.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+                            chat.loss_text(F.col("formatted"), F.col("loss")).alias("loss"))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), _hex(F.array_join(said, "")).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"), _hex("loss").alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+OP7 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(20 + length(role) + length(text)
+                + length(regexp_replace(role || text, '[^<\[\\]', '', 'g'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
 def bpe_digests(encoded: DataFrame) -> DataFrame:
     return encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -34,7 +109,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_warc": op2_warc,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_chat": op7_chat,
     "op10_bpe": op10_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_warc": OP2, "op6_line_dedup": OP6, "op7_chat": OP7}
