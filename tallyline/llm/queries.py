@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, chat, line_dedup, token_counts, warc
+from tallyline.llm import bpe, chat, line_dedup, ngram_join, token_counts, toxicity, warc
 from tallyline.session import run_dir
 
 
@@ -39,6 +39,16 @@ FROM f
 """
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, toxicity.severity_grades(_table(spark, sf_dir, "labels")))
+    return toxicity.score(documents.select("doc_id", "text"), model).select("doc_id", "severity", "rejected")
+
+
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(_table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", _hex("text").alias("kept_sha256"))
@@ -110,6 +120,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_warc": op2_warc,
+    "op3_toxicity": op3_toxicity,
+    "op4_ngram_join": op4_ngram_join,
     "op6_line_dedup": op6_line_dedup,
     "op7_chat": op7_chat,
     "op10_bpe": op10_bpe,
