@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, chat, line_dedup, ngram_join, token_counts, toxicity, warc
+from tallyline.llm import bpe, chat, line_dedup, ngram_join, rp_forest, token_counts, toxicity, warc
 from tallyline.session import run_dir
 
 
@@ -106,6 +106,10 @@ FROM t GROUP BY conv_id
 """
 
 
+def op9_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def bpe_digests(encoded: DataFrame) -> DataFrame:
     return encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -124,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_join": op4_ngram_join,
     "op6_line_dedup": op6_line_dedup,
     "op7_chat": op7_chat,
+    "op9_forest": op9_forest,
     "op10_bpe": op10_bpe,
 }
 
