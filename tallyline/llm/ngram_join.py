@@ -5,8 +5,8 @@ global order, rare ones first: two sets that are similar enough share one of the
 by set size, are cut into blocks; a tile is a pair of blocks whose sizes may still match. In a tile, bitmaps of hashed n-grams
 bound the overlap from above, and only pairs that the bound admits reach the exact intersection of sorted arrays.
 
-A group of many copies with small changes shares most of its index entries, so before any tile a few rounds link the
-members of an entry to one of them; tiles then look only at pairs whose classes are not connected yet.
+A group of many copies with small changes shares most of its index entries, so before any tile its members are
+compared with a few of them; tiles then look only at pairs whose classes are not connected yet.
 """
 
 from collections.abc import Iterator
@@ -23,14 +23,14 @@ from tallyline.session import materialize
 
 SLICE_BYTES = 1 << 20
 #: Counters of the frequency table that orders n-grams. It is broadcast as one byte each, whatever the input.
-COUNTERS = 1 << 20
+COUNTERS = 1 << 18
 COUNTER_BLOCK = 1 << 12
 #: 64-bit words of a bitmap: about two bits per member, a power of two between these.
 LEAST_WORDS, MOST_WORDS = 8, 128
 BLOCK = 1024
 #: Bits of the hashed table that says which texts' sets are wanted; others may pass by chance and do no harm.
 WANTED_BITS = 1 << 23
-STAR_ROUNDS = 3
+STARS = 3
 
 
 def overlap_needed(a: np.ndarray | int, b: np.ndarray | int, percent: int) -> np.ndarray:
@@ -50,7 +50,7 @@ def _sets(hasher: WordHasher, part: pa.RecordBatch, width: int) -> tuple[np.ndar
 
 
 def _class_rows(width: int):
-    """Set size and a 128-bit digest of the set for each text."""
+    """Set size, bitmap and a 128-bit digest of the set for each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -64,7 +64,9 @@ def _class_rows(width: int):
                         sums.append((total[bounds[1:]] - total[bounds[:-1]]).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), part.column("doc"), pa.array(np.diff(bounds), pa.int32()),
-                     pa.array(sums[0]), pa.array(sums[1])], names=["row", "doc", "size", "c1", "c2"])
+                     pa.array(sums[0]), pa.array(sums[1]),
+                     pa.array([bitmap(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())],
+                    names=["row", "doc", "size", "c1", "c2", "bits"])
 
     return run
 
@@ -170,7 +172,7 @@ def wanted_table(docs: DataFrame) -> np.ndarray:
 
 
 def _set_rows(width: int, wanted):
-    """The sorted set and the bitmap of each wanted text."""
+    """The sorted set of each wanted text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, table = WordHasher(), np.unpackbits(wanted.value, bitorder="little").astype(bool)
@@ -179,9 +181,7 @@ def _set_rows(width: int, wanted):
             for part in byte_slices(batch, "text", SLICE_BYTES):
                 values, bounds = _sets(hasher, part, width)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc"), pa.array(np.diff(bounds), pa.int32()),
-                     pa.array([bitmap(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
-                     list_array(values.view(np.int64), bounds, pa.int64())], names=["doc", "size", "bits", "grams"])
+                    [part.column("doc"), list_array(values.view(np.int64), bounds, pa.int64())], names=["doc", "grams"])
 
     return run
 
@@ -272,6 +272,14 @@ def _verify(percent: int):
     return run
 
 
+def _with(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
+    """`columns` of both ends of each pair."""
+    for end in "vu":
+        side = table.select(F.col("doc").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
+        pairs = pairs.join(side, end)
+    return pairs
+
+
 class NgramJoin:
     """The join over one table of texts. Only narrow rows are shuffled: the texts are read once more for each step."""
 
@@ -281,47 +289,44 @@ class NgramJoin:
         self.texts = documents.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("doc"),
                                       F.coalesce(F.col(text), F.lit("")).alias("text"))
         self.rows = materialize(self.texts.mapInArrow(
-            _class_rows(width), "row long, doc long, size int, c1 long, c2 long"), "ngram-rows")
+            _class_rows(width), "row long, doc long, size int, c1 long, c2 long, bits binary"), "ngram-rows")
         first = F.min(F.struct("doc", "row"))
         self.classes = materialize(
             self.rows.where("size > 0 and doc is not null").groupBy("c1", "c2").agg(first.alias("first"))
             .select("c1", "c2", F.col("first.doc").alias("rep"), F.col("first.row").alias("row")), "ngram-classes")
 
     def entries(self) -> DataFrame:
-        """(gram, doc, component) for index entries that at least two classes share; each class is its own component yet."""
+        """(gram, doc, row, component) for index entries that at least two classes share; component: the class itself."""
         order = self.spark.sparkContext.broadcast(frequency_classes(self.texts, self.width, self.counters))
         index = self.texts.mapInArrow(_index_rows(self.width, self.percent, order), "row long, grams array<long>")
-        entries = (index.join(self.classes.select("row", F.col("rep").alias("doc")), "row")
-                   .select(F.explode("grams").alias("gram"), "doc"))
+        entries = index.join(self.classes.select("row", "rep"), "row").select(F.explode("grams").alias("gram"), "rep")
         shared = entries.withColumn("n", F.count("*").over(Window.partitionBy("gram")))
-        return materialize(shared.where("n > 1").select("gram", "doc", F.col("doc").alias("component")), "ngram-entries")
-
-    def sets(self, entries: DataFrame) -> DataFrame:
-        """(doc, size, bits, grams) of the classes that have a shared entry, and of some others."""
-        wanted = self.spark.sparkContext.broadcast(wanted_table(entries.select("doc")))
+        return materialize(shared.where("n > 1").select("gram", F.col("rep").alias("doc"), F.col("rep").alias("component")),
+                           "ngram-entries")
+
+    def signatures(self) -> DataFrame:
+        """(doc, size, bits) of the classes."""
+        return self.rows.join(self.classes.select("row"), "row", "left_semi").select("doc", "size", "bits")
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that are similar enough. Sets are made of those texts only that a pair asks for."""
+        pairs = materialize(pairs, "ngram-pairs")
+        ends = pairs.select(F.col("u").alias("doc")).union(pairs.select("v"))
+        wanted = self.spark.sparkContext.broadcast(wanted_table(ends))
         texts = self.texts.where("doc is not null").select("doc", "text")
-        return materialize(texts.mapInArrow(
-            _set_rows(self.width, wanted), "doc long, size int, bits binary, grams array<long>"), "ngram-sets")
-
-    def _with(self, pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
-        for end in "vu":
-            side = sets.select(F.col("doc").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
-            pairs = pairs.join(side, end)
-        return pairs
-
-    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        joined = self._with(pairs, sets, ["grams"]).select("u", "v", "grams_u", "grams_v")
-        return joined.mapInArrow(_verify(self.percent), "u long, v long")
-
-    def stars(self, entries: DataFrame, sets: DataFrame, round_: int) -> DataFrame:
-        """Admitted pairs of each member of an entry with one of them, another one in each round."""
-        order = F.struct(F.xxhash64(F.lit(round_), "doc"), F.col("doc"), F.col("component"))
-        centre = (entries.groupBy("gram").agg(F.min(order).alias("centre"))
-                  .select("gram", "centre.doc", "centre.component").toDF("gram", "centre", "of_centre"))
-        pairs = (entries.join(centre, "gram").where("component != of_centre")
+        sets = materialize(texts.mapInArrow(_set_rows(self.width, wanted), "doc long, grams array<long>"), "ngram-sets")
+        joined = _with(pairs, sets, ["grams"]).select("u", "v", "grams_u", "grams_v")
+        return materialize(joined.mapInArrow(_verify(self.percent), "u long, v long").distinct(), "ngram-links")
+
+    def stars(self, entries: DataFrame, signatures: DataFrame) -> DataFrame:
+        """Admitted pairs of each member of an entry with a few of them, picked by hash."""
+        orders = [F.struct(F.xxhash64(F.lit(i), "doc"), F.col("doc")) for i in range(STARS)]
+        centres = (entries.groupBy("gram").agg(*[F.min(o).alias(f"c{i}") for i, o in enumerate(orders)])
+                   .select("gram", F.explode(F.array_distinct(F.array(*[f"c{i}.doc" for i in range(STARS)]))).alias("centre")))
+        pairs = (entries.join(centres, "gram").where("doc != centre")
                  .select(F.least("doc", "centre").alias("u"), F.greatest("doc", "centre").alias("v")).distinct())
         fits = F.least("size_u", "size_v") * 100 >= F.greatest("size_u", "size_v") * self.percent
-        sized = self._with(pairs, sets, ["size", "bits"]).where(fits)
+        sized = _with(pairs, signatures, ["size", "bits"]).where(fits)
         return sized.select("u", "v", "size_u", "size_v", "bits_u", "bits_v").mapInArrow(
             _admit(self.percent), "u long, v long").distinct()
 
@@ -332,9 +337,9 @@ class NgramJoin:
         split = named.groupBy("gram").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b")
         return materialize(named.join(split.select("gram"), "gram", "left_semi"), "ngram-open")
 
-    def tiles(self, entries: DataFrame, sets: DataFrame) -> DataFrame:
+    def tiles(self, entries: DataFrame, signatures: DataFrame) -> DataFrame:
         """Pairs from all tiles. A member goes to the tiles of its block with every block whose sizes may match."""
-        rows = entries.join(sets.select("doc", "size", "bits"), "doc")
+        rows = entries.join(signatures, "doc")
         place = F.row_number().over(Window.partitionBy("gram").orderBy("size", "doc"))
         placed = materialize(rows.withColumn("block", F.floor((place - 1) / BLOCK).cast("int")), "ngram-placed")
         spans = placed.groupBy("gram", "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
@@ -349,15 +354,10 @@ class NgramJoin:
 
     def links(self) -> DataFrame:
         """Links that connect what all links connect."""
-        left = self.entries()
-        sets = self.sets(left)
-        links = self.spark.createDataFrame([], "u long, v long")
-        for round_ in range(STAR_ROUNDS):
-            links = materialize(links.union(self.verified(self.stars(left, sets, round_), sets)).distinct(), "ngram-links")
-            left = self.still_open(left, links)
-            if left.isEmpty():
-                return links
-        return materialize(links.union(self.verified(self.tiles(left, sets), sets)).distinct(), "ngram-links")
+        entries, signatures = self.entries(), self.signatures()
+        links = self.verified(self.stars(entries, signatures))
+        left = self.still_open(entries, links)
+        return links.union(self.verified(self.tiles(left, signatures))).distinct()
 
 
 def ngram_components(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80,

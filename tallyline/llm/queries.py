@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, chat, line_dedup, ngram_join, rp_forest, token_counts, toxicity, warc
+from tallyline.llm import bpe, chat, decontaminate, line_dedup, ngram_join, pii, rp_forest, token_counts, toxicity, warc
 from tallyline.session import run_dir
 
 
@@ -49,6 +49,12 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(_table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(
+        F.count("*").alias("n_passages"), F.max("share").alias("share"), F.max("cosine").alias("cosine"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", _hex("text").alias("kept_sha256"))
@@ -106,6 +112,18 @@ FROM t GROUP BY conv_id
 """
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.personal_data(documents, pii.fit(documents)).select("doc_id", "spans")
+    base = F.filter("spans", lambda s: s["base"])
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+    counts = [F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, _hex(joined(base)).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op9_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp_forest.nearest(_table(spark, sf_dir, "embeddings"))
 
@@ -126,8 +144,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_toxicity": op3_toxicity,
     "op4_ngram_join": op4_ngram_join,
+    "op5_decontaminate": op5_decontaminate,
     "op6_line_dedup": op6_line_dedup,
     "op7_chat": op7_chat,
+    "op8_pii": op8_pii,
     "op9_forest": op9_forest,
     "op10_bpe": op10_bpe,
 }

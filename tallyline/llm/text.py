@@ -8,11 +8,13 @@ import pyarrow.compute as pc
 
 CHUNK = 1 << 15
 SPACE = np.array([9, 10, 11, 12, 13, 32])
+#: ASCII other than letters and digits.
+NOT_LETTERS = np.array([b for b in range(128) if not (48 <= b < 58 or 65 <= b < 91 or 97 <= b < 123)])
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Row offsets and bytes of a string column; null counts as empty."""
-    column = pc.fill_null(column, "").cast(pa.large_string())
+    """Row offsets and bytes of a string or binary column; null counts as empty."""
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
     if not len(column):

@@ -9,10 +9,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.text import WordHasher, byte_slices, list_array, utf8
+from tallyline.llm.text import NOT_LETTERS, WordHasher, byte_slices, list_array, utf8
 from tallyline.session import materialize
 
 SLICE_BYTES = 1 << 20
@@ -22,7 +23,6 @@ FIT_ROWS = 10_000
 STEMS = (4, 5, 6, 7)
 #: Features kept for the fit: those whose presence differs most between grade 0 and the rest.
 FIT_FEATURES = 3_000
-SEPARATORS = np.array([b for b in range(128) if not (48 <= b < 58 or 65 <= b < 91 or 97 <= b < 123)])
 
 
 @dataclass(frozen=True)
@@ -43,7 +43,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 def features(hasher: WordHasher, part: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
     """Feature hashes of many texts and the row of each: every word, and its beginnings of STEMS bytes as stems."""
-    offsets, data = utf8(part.column(column))
+    offsets, data = utf8(pc.utf8_lower(part.column(column)))
     first, last = hasher.bounds(offsets, data)
     rows = np.searchsorted(offsets, first, side="right") - 1
     found, owners = [hasher.hashes(data, first, last)], [rows]
@@ -55,7 +55,7 @@ def features(hasher: WordHasher, part: pa.RecordBatch, column: str) -> tuple[np.
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher = WordHasher(SEPARATORS)
+    hasher = WordHasher(NOT_LETTERS)
     for batch in batches:
         for part in byte_slices(batch, "text", SLICE_BYTES):
             values, owners = features(hasher, part, "text")
@@ -156,7 +156,7 @@ def score(texts: DataFrame, model: OrdinalModel, key: str = "doc_id", text: str
     names = [c for c in texts.columns if c not in ("severity", "rejected")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, known = WordHasher(SEPARATORS), shared.value
+        hasher, known = WordHasher(NOT_LETTERS), shared.value
         for batch in batches:
             for part in byte_slices(batch, text, SLICE_BYTES):
                 values, owners = features(hasher, part, text)
