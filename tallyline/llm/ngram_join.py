@@ -359,6 +359,14 @@ class NgramJoin:
         left = self.still_open(entries, links)
         return links.union(self.verified(self.tiles(left, signatures))).distinct()
 
+    def members(self) -> DataFrame:
+        """(row, doc, size, component_id) of every row; its own key without a set, null without a key."""
+        merged = (self.classes.join(components(self.links()), F.col("rep") == F.col("node"), "left")
+                  .select("c1", "c2", F.coalesce("component", "rep").alias("component")))
+        linked = F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("doc"))
+        return self.rows.join(merged, ["c1", "c2"], "left").select(
+            "row", "doc", "size", F.when(F.col("doc").isNotNull(), linked).alias("component_id"))
+
 
 def ngram_components(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80,
                      counters: int = COUNTERS) -> DataFrame:
@@ -370,11 +378,19 @@ def ngram_components(documents: DataFrame, key: str = "doc_id", text: str = "tex
     Rows of equal sets are linked whatever their keys; rows with one key share its component. A row with a null key
     has a null component and links nothing. Other columns are left out.
     """
-    join = NgramJoin(documents, key, text, width, percent, counters)
-    known = components(join.links())
-    merged = (join.classes.join(known, F.col("rep") == F.col("node"), "left")
-              .select("c1", "c2", F.coalesce("component", "rep").alias("component_id")))
-    out = join.rows.join(merged, ["c1", "c2"], "left")
-    linked = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc"))
-    return out.select(F.col("doc").alias(key), F.col("size").cast("long").alias("n_shingles"),
-                      F.when(F.col("doc").isNotNull(), linked).alias("component_id"))
+    rows = NgramJoin(documents, key, text, width, percent, counters).members()
+    return rows.select(F.col("doc").alias(key), F.col("size").cast("long").alias("n_shingles"), "component_id")
+
+
+def one_of_each_group(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80,
+                      counters: int = COUNTERS) -> DataFrame:
+    """`documents` without the rows of a component of `ngram_components` other than one of its smallest key.
+
+    Rows with an empty set or a null key all stay. Columns are kept as they are.
+    """
+    rows = NgramJoin(documents, key, text, width, percent, counters).members()
+    grouped = rows.where("size > 0 and doc is not null")
+    first = grouped.groupBy("component_id").agg(F.min(F.struct("doc", "row"))["row"].alias("first"))
+    gone = grouped.join(first, "component_id").where("row != first").select(F.col("row").alias("_row"))
+    return (documents.withColumn("_row", F.monotonically_increasing_id()).join(gone, "_row", "left_anti")
+            .select(*documents.columns))
