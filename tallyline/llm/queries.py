@@ -120,8 +120,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
 
-    counts = [F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
-    return found.select("doc_id", *counts, _hex(joined(base)).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(kind) for kind in pii.KINDS], _hex(joined(base)).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
 def op9_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
