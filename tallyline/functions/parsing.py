@@ -35,8 +35,18 @@ def clean_float(c: Column) -> Column:
 
 
 def clean_json(c: Column) -> Column:
-    """Normalised JSON text; invalid or empty JSON values are NULL."""
-    text = F.to_json(F.try_parse_json(clean_text(c)))
+    """Normalised JSON text; text that is not exactly one JSON value, and empty values, are NULL.
+
+    The parser stops after the first value of a text, so the text is read as an element of a list with an end mark.
+    Of a repeated key the last value counts where spark.sql.variant.allowDuplicateKeys is set, as `build_session`
+    does; otherwise such text is invalid.
+    """
+    own = clean_text(c)
+    mark = F.xxhash64(own)
+    whole = F.try_parse_json(F.concat(F.lit("["), own, F.lit(',{"end_mark":'), mark.cast("string"), F.lit("}]")))
+    one = (F.try_variant_get(whole, "$[1].end_mark", "bigint") == mark) & F.try_variant_get(
+        whole, "$[2]", "variant").isNull()
+    text = F.to_json(F.when(one, F.try_variant_get(whole, "$[0]", "variant")))
     return F.when(~text.isin(*EMPTY_JSON), text)
 
 

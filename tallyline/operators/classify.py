@@ -14,7 +14,6 @@ from tallyline import schemas as S
 from tallyline.functions import events as E
 from tallyline.functions.display import float_text
 from tallyline.functions.parsing import clean_rating
-from tallyline.operators.skew import HOT_ROWS, hot_keys, spread_join
 
 # ---- fixed values: messages stored with failed events ----------------------------------
 
@@ -40,12 +39,16 @@ def decode_rows(deliveries: DataFrame) -> DataFrame:
     """Each delivery with the fields of its event beside it.
 
     `inline` parses the text once: a filter on a field is not pushed below it, where it would parse
-    the text again for every field it mentions.
+    the text again for every field it mentions. `readable` tells whether the text is one JSON object.
     """
-    return deliveries.select(
+    rows = deliveries.select(
         F.col("value").alias("event_data"), "topic", "partition", "offset", "timestamp",
         E.arrival_order(F.col("partition"), F.col("offset")).alias("ord"),
-        F.inline(F.array(E.decode_event(F.col("value")))),
+        F.inline(F.array(F.struct(E.parsed_event(F.col("value")).alias("_parsed")))),
+    ).withColumn("readable", E.readable(F.col("_parsed"), F.col("event_data")))
+    return rows.select(
+        "event_data", "topic", "partition", "offset", "timestamp", "ord", "readable",
+        *E.event_fields(F.when(F.col("readable"), F.col("_parsed")[0])),
     ).withColumn("number", _number(F.col("rating")))
 
 
@@ -79,7 +82,7 @@ def verdict() -> Column:
     return (
         F.when(passes(), "ok")
         .when(~known, "unknown")
-        .when(F.json_object_keys("event_data").isNull(), "invalid")
+        .when(~F.col("readable"), "invalid")
         .when(F.col("event_type").isNull(), "unknown")
         .when(keys_gone > 0, "invalid")
         .otherwise("error")
@@ -117,7 +120,7 @@ def classify_rows(deliveries: DataFrame, now: Column | None = None) -> DataFrame
 
 def with_messages(rows: DataFrame) -> DataFrame:
     """Adds the messages stored with a failure."""
-    malformed = F.col("event_type").isNull() | F.json_object_keys("event_data").isNull()
+    malformed = F.col("event_type").isNull() | ~F.col("readable")
     prefix = F.lit(None).cast("string")
     for event_type, text in WRAPPER.items():
         prefix = F.when(_is(event_type), text).otherwise(prefix)
@@ -196,33 +199,30 @@ def processed_ids(ledger: DataFrame) -> DataFrame:
     return ledger.where(F.col("status") == "success").select("event_id")
 
 
-def drop_processed(rows: DataFrame, ledger: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def drop_processed(rows: DataFrame, ledger: DataFrame) -> DataFrame:
     """Deliveries whose event id has no success in the ledger; ids that only failed may come again."""
-    return spread_join(rows, processed_ids(ledger), "event_id", "left_anti", "ord",
-                       hot_rows=hot_rows)
+    return rows.join(processed_ids(ledger), "event_id", "left_anti")
 
 
-def resolve_duplicates(rows: DataFrame, ledger: DataFrame | None = None,
-                       hot_rows: int = HOT_ROWS) -> DataFrame:
+def resolve_duplicates(rows: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """Adds `outcome` to every delivery.
 
     The first passing delivery of an id is the success, whatever comes after it is a duplicate,
     failures before it are errors. The first success is found by a hash aggregate; only ids delivered
-    more than once have to be looked up again, and an id with very many copies does not fill one task,
-    see `spread_join`.
+    more than once have to be looked up again. Copies of one id, and deliveries without an id, may make up a
+    large part of the rows: the join is a plain left join, whose large partitions the planner splits at run time.
     """
     reached = F.col("verdict").isin("ok", "error")
     keyed = rows.withColumn("_id", F.when(reached, F.col("event_id")))
     per_id = keyed.where(F.col("_id").isNotNull()).groupBy("_id").agg(
-        F.min(F.when(passes(), F.col("ord"))).alias("_first"), F.count("*").alias("n"))
+        F.min(F.when(F.col("verdict") == "ok", F.col("ord"))).alias("_first"), F.count("*").alias("n"))
     repeated = F.col("n") > 1
     if ledger is not None:
         done = processed_ids(ledger).select(F.col("event_id").alias("_id"), F.lit(True).alias("_done"))
         per_id = per_id.join(done, "_id", "left").withColumn("_first", F.when(F.col("_done"), -1).otherwise(F.col("_first")))
         repeated = repeated | F.col("_done")
     lookup = per_id.where(repeated).select("_id", "_first")
-    hot = hot_keys(per_id.select("_id", "_first", "n"), "_id", hot_rows)
-    joined = spread_join(keyed, lookup, "_id", "left", "ord", hot=hot)
+    joined = keyed.join(lookup, "_id", "left")
     outcome = (
         F.when(~reached, F.col("verdict"))
         .when(F.col("ord") == F.col("_first"), "success")
@@ -233,9 +233,8 @@ def resolve_duplicates(rows: DataFrame, ledger: DataFrame | None = None,
     return joined.withColumn("outcome", outcome).drop("_id", "_first")
 
 
-def classify_events(deliveries: DataFrame, ledger: DataFrame | None = None,
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
-    return resolve_duplicates(classify_rows(deliveries), ledger, hot_rows)
+def classify_events(deliveries: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    return resolve_duplicates(classify_rows(deliveries), ledger)
 
 
 ATTEMPT = ["event_id", "event_type", "ledger_aggregate_id", "ord", "ok", "ledger_message", "processed_at"]
@@ -265,12 +264,11 @@ def failure_counts(attempts: DataFrame) -> DataFrame:
     ).where(F.col("n") > 0)
 
 
-def outstanding_failures(rejects: DataFrame, attempts: DataFrame, ledger: DataFrame | None = None,
-                         hot_rows: int = HOT_ROWS) -> DataFrame:
+def outstanding_failures(rejects: DataFrame, attempts: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """Rejected deliveries that stay failures: not those that came after a success of their id.
 
     Only ids that both failed and succeeded are looked up. They are found by a hash aggregate over
-    two narrow columns, which also gives the sizes for the split of hot ids.
+    two narrow columns.
     """
     per_id = failure_counts(attempts).withColumnRenamed("event_id", "_id")
     if ledger is not None:
@@ -278,10 +276,6 @@ def outstanding_failures(rejects: DataFrame, attempts: DataFrame, ledger: DataFr
         before = processed_ids(ledger).join(failing, "event_id", "left_semi").select(
             F.col("event_id").alias("_id"), F.lit(True).alias("_done"))
         per_id = per_id.join(before, "_id", "left").withColumn("since", F.when(F.col("_done"), -1).otherwise(F.col("since")))
-    per_id = per_id.select("_id", "since", "n")
-    settled = per_id.where(F.col("since").isNotNull() & (F.col("n") > 0)).select("_id", "since")
-    joined = spread_join(
-        rejects.withColumn("_id", F.when(F.col("verdict") == "error", F.col("event_id"))),
-        settled, "_id", "left", "ord", hot=hot_keys(per_id, "_id", hot_rows),
-    )
+    settled = per_id.where(F.col("since").isNotNull()).select("_id", "since")
+    joined = rejects.withColumn("_id", F.when(F.col("verdict") == "error", F.col("event_id"))).join(settled, "_id", "left")
     return joined.where(F.col("since").isNull() | (F.col("ord") < F.col("since"))).drop("_id", "since")

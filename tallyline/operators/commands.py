@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from tallyline import schemas as S
 from tallyline.functions import events as E
 from tallyline.functions.display import float_text
-from tallyline.operators.skew import HOT_ROWS, spread_join
 
 # ---- fixed values: reasons and messages ------------------------------------------------
 
@@ -50,19 +49,19 @@ def validate_commands(commands: DataFrame) -> DataFrame:
         "reject_reason", F.when(F.col("reject_field").isNotNull(), VALIDATION))
 
 
-def check_item_exists(commands: DataFrame, catalog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Adds `item_exists`. One item, or copies of one command, may make up a large part of all commands,
-    see `spread_join`."""
+def check_item_exists(commands: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Adds `item_exists`. One item may make up a large part of all commands: a plain left join, which broadcasts
+    a small catalog and splits large partitions of the commands at run time."""
     known = catalog.select(F.col("myanimelist_id").alias("anime_id")).distinct().withColumn("_known", F.lit(True))
     return (
-        spread_join(commands, known, "anime_id", "left", hot_rows=hot_rows)
+        commands.join(known, "anime_id", "left").select(*commands.columns, "_known")
         .withColumn("item_exists", F.coalesce("_known", F.lit(False))).drop("_known")
     )
 
 
-def screen_commands(commands: DataFrame, catalog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def screen_commands(commands: DataFrame, catalog: DataFrame) -> DataFrame:
     """All checks in their order (fields, existence, rating): adds `reject_reason`, `reject_message`."""
-    checked = check_item_exists(commands, catalog, hot_rows)
+    checked = check_item_exists(commands, catalog)
     problem = field_problem()
     low = (F.col("command_type") == "rating") & (F.col("rating") < S.MIN_RATING)
     return (

@@ -21,9 +21,9 @@ def ingest_commands(commands: DataFrame, catalog: DataFrame, log: DataFrame | No
     A resent command gives an event the log already has, so it is dropped before versions are given.
     """
     screened = C.screen_commands(commands, catalog)
-    # Numbering goes over its input twice, so the checks and the log lookup are stored once.
-    fresh = materialize(L.new_events(log, C.commands_to_events(C.accepted(screened))), "accepted")
-    return Ingest(assign_versions(fresh, log), C.refused(screened))
+    # The lookup goes over the accepted events twice, so the checks are stored before it.
+    accepted = materialize(C.commands_to_events(C.accepted(screened)), "accepted")
+    return Ingest(assign_versions(L.new_events(log, accepted), log), C.refused(screened))
 
 
 def ingest_to_log(spark: SparkSession, commands: DataFrame, catalog: DataFrame, log_path: str,

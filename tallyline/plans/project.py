@@ -14,6 +14,9 @@ from tallyline.sources import event_log as L
 from tallyline.sources.tables import read_table, write_table
 
 
+FINISHED = "finished"
+
+
 class ReadModel(NamedTuple):
     activity: DataFrame
     item_stats: DataFrame
@@ -25,7 +28,8 @@ def project(deliveries: DataFrame, now: datetime | None = None, activity: DataFr
             ledger: DataFrame | None = None) -> ReadModel:
     """The read model after `deliveries`, on top of an earlier `activity` and `ledger` if given.
 
-    `now` is the one time of processing written to all tables. `dead_letters` holds the new ones only.
+    `now` is the one time of processing written to all tables. `dead_letters` holds the new ones only; the writer
+    adds them to the earlier table.
     Every table is lazy and can be used by itself.
     """
     rows = C.classify_rows(deliveries, F.lit(now))
@@ -45,8 +49,11 @@ def assemble(successes: DataFrame, rejects: DataFrame, attempts: DataFrame,
 
 
 def write_read_model(deliveries: DataFrame, root: str, now: datetime | None = None,
-                     activity: DataFrame | None = None, ledger: DataFrame | None = None) -> None:
-    """Write all tables under `root`, a fresh folder.
+                     activity: DataFrame | None = None, ledger: DataFrame | None = None,
+                     dead_letters: DataFrame | None = None) -> None:
+    """Write all tables under `root`, a fresh folder, on top of those of an earlier run if given. Earlier dead letters
+    keep their status; letters that are there already are not written again. A marker, written last, makes the
+    model readable.
 
     The raw deliveries are read and parsed once, into `checked`, by verdict; successes and failures
     then come from that narrower table, and the statistics from the written activity.
@@ -60,13 +67,17 @@ def write_read_model(deliveries: DataFrame, root: str, now: datetime | None = No
     write_table(model.activity, root, "activity")
     write_table(A.item_stats(read_table(spark, root, "activity")), root, "item_stats")
     write_table(model.ledger, root, "ledger")
-    write_table(model.dead_letters, root, "dead_letters")
+    letters = model.dead_letters if dead_letters is None else D.add_dead_letters(dead_letters, model.dead_letters)
+    write_table(letters, root, "dead_letters")
+    spark.range(1).write.parquet(f"{root}/{FINISHED}")
 
 
 def read_read_model(spark: SparkSession, root: str) -> ReadModel:
+    """A finished model; one whose writer did not come to its end fails."""
+    spark.read.parquet(f"{root}/{FINISHED}")
     return ReadModel(*[read_table(spark, root, name) for name in ReadModel._fields])
 
 
-def rebuild_read_model(log: DataFrame, order: str = "version", now: datetime | None = None) -> ReadModel:
-    """Replay the whole event log into a fresh read model."""
-    return project(L.as_deliveries(log, order), now)
+def rebuild_read_model(log: DataFrame, now: datetime | None = None) -> ReadModel:
+    """Replay the whole event log into a fresh read model, see `as_deliveries` for the order."""
+    return project(L.as_deliveries(log), now)

@@ -16,6 +16,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)

@@ -2,28 +2,48 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LOAD_ORDER = "load_seq"
+MOST_COLUMNS = 100
+QUOTING = {"quote": '"', "escape": '"', "multiLine": True}
+
+
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a path by their header. One short line of each file comes to the driver."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.input_file_block_start().alias("block"),
+        F.monotonically_increasing_id().alias("row"))
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    names = F.from_csv("header", ", ".join(f"c{i} string" for i in range(MOST_COLUMNS)), {"quote": '"', "escape": '"'})
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.select("file", names.alias("names")).toLocalIterator():
+        own = list(row.names)
+        while own and own[-1] is None:
+            own.pop()
+        if own:
+            own[0] = (own[0] or "").removeprefix("﻿")
+        found.setdefault(tuple(n or f"_c{i}" for i, n in enumerate(own)), []).append(row.file)
+    return found
 
 
 def read_catalog_csv(spark: SparkSession, *paths: str) -> DataFrame:
     """All columns as text, by header name, plus `load_seq`, the order of the rows.
 
-    The files of one path share a header; paths may differ in columns. A file with line breaks in
-    quotes cannot be split, so parallelism comes from many files. Inside a file the row order is that
-    of the text, files follow one another by path.
+    Each file has its own header, at most 100 names: files may differ in the order and the choice of columns. A file
+    with line breaks in quotes cannot be split, so parallelism comes from many files. Inside a file the row order is
+    that of the text, files follow one another by path.
     """
     whole = None
     for number, path in enumerate(paths):
-        part = (
-            spark.read.option("header", True).option("multiLine", True).option("inferSchema", False)
-            .option("quote", '"').option("escape", '"').csv(path)
-        )
-        part = part.withColumn(
-            LOAD_ORDER,
-            F.struct(F.lit(number).alias("path"), F.col("_metadata.file_path").alias("file"),
-                     F.monotonically_increasing_id().alias("row")))
-        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
+        for names, files in sorted(_headers(spark, path).items()):
+            schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+            part = spark.read.options(header=True, enforceSchema=True, **QUOTING).schema(schema).csv(sorted(files))
+            part = part.withColumn(
+                LOAD_ORDER,
+                F.struct(F.lit(number).alias("path"), F.col("_metadata.file_path").alias("file"),
+                         F.monotonically_increasing_id().alias("row")))
+            whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
     return whole
 
 

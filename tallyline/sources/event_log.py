@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyline import schemas as S
 from tallyline.functions import events as E
-from tallyline.operators.skew import HOT_ROWS, spread_join
+from tallyline.operators.versions import number_rows
 
 REPLAY_TOPIC = "event_log"
 
@@ -69,23 +69,28 @@ def events_for_aggregate(log: DataFrame, aggregate_id: str, from_version: int =
     )
 
 
-def events_for_aggregates(log: DataFrame, requests: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def events_for_aggregates(log: DataFrame, requests: DataFrame) -> DataFrame:
     """The same for many aggregates: `requests` has aggregate_id and from_version."""
     since = requests.groupBy("aggregate_id").agg(F.min("from_version").alias("from_version"))
     rows = log.select("event_id", "aggregate_id", "version", "event_data")
     return (
-        spread_join(rows, since, "aggregate_id", "inner", "event_id", hot_rows=hot_rows)
+        rows.join(since, "aggregate_id")
         .where(F.col("version") > F.col("from_version"))
         .orderBy("aggregate_id", "version", "event_id")
         .select("aggregate_id", "version", "event_data")
     )
 
 
-def as_deliveries(log: DataFrame, order: str = "version") -> DataFrame:
-    """The log as deliveries for a replay. `order` is the arrival order inside an aggregate; a log whose
-    versions were never assigned takes `unix_micros(occurred_at)`."""
-    return log.select(
+def as_deliveries(log: DataFrame) -> DataFrame:
+    """The log as deliveries for a replay, in the order (version, occurred_at, event_id) of each aggregate: a
+    log whose versions were never assigned, all 1, is replayed by time.
+
+    The offset is the event's place in that order, the partition a hash of the aggregate.
+    """
+    rows = log.select("aggregate_id", "version", "occurred_at", "event_id", "event_data")
+    return number_rows(rows, "aggregate_id", ["version", "occurred_at", "event_id"], "place").select(
         F.col("aggregate_id").alias("key"), F.col("event_data").alias("value"),
-        F.lit(REPLAY_TOPIC).alias("topic"), F.lit(0).alias("partition"),
-        F.expr(order).cast("long").alias("offset"), F.col("occurred_at").alias("timestamp"),
+        F.lit(REPLAY_TOPIC).alias("topic"),
+        F.pmod(F.xxhash64("aggregate_id"), F.lit(1 << E.PARTITION_BITS)).cast("int").alias("partition"),
+        F.col("place").alias("offset"), F.col("occurred_at").alias("timestamp"),
     )

@@ -65,10 +65,14 @@ def first_effects(rows: DataFrame) -> DataFrame:
 
 
 def bounded_effects(rows: DataFrame, horizon: str) -> DataFrame:
-    """The same with state only for `horizon` of event time: copies later than that count again, and
-    among different payloads of one id in one batch any may win."""
+    """The same with state only for `horizon` of processing time: copies that come later than that count again, and
+    among different payloads of one id in one batch any may win.
+
+    The watermark follows the time of the micro-batch, which no row is behind: an event is never late,
+    whenever it occurred.
+    """
     return (
-        C.succeeding(rows).withColumn("_t", F.col("occurred_at").cast("timestamp"))
+        C.succeeding(rows).withColumn("_t", F.col("processed_at").cast("timestamp"))
         .withWatermark("_t", horizon).dropDuplicatesWithinWatermark(["event_id"]).drop("_t")
     )
 

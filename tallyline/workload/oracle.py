@@ -93,7 +93,7 @@ STEPS: dict[str, tuple[str, str]] = {
         ORDER BY average_rating DESC, total_ratings DESC, anime_id LIMIT 10"""),
     # Failed deliveries and the ledger.
     "dead": ("resolved", """
-        SELECT sha256(concat_ws(':', 'anime-events', CAST(part AS VARCHAR), CAST(ofs AS VARCHAR), error_message)) AS dlq_id,
+        SELECT sha256(concat_ws(':', 'anime-events', CAST(part AS VARCHAR), CAST(ofs AS VARCHAR), sha256(body), error_message)) AS dlq_id,
                CASE WHEN cut_off THEN 'unknown' ELSE id END AS event_id,
                CASE WHEN cut_off THEN 'unknown' ELSE kind END AS event_type,
                CASE WHEN cut_off OR bucket = 33 THEN NULL ELSE agg END AS aggregate_id, body AS event_data,
@@ -251,6 +251,11 @@ ORACLE: dict[str, str] = {
                {NUMBER.format('total_ratings')} AS ratings, printf('%.2f', average_rating) AS average,
                {DURATION.format('total_duration_seconds')} AS duration FROM top_rating"""),
     "dead_letters": sql("dead", "SELECT * FROM dead"),
+    "incremental_dead_letters": sql("dead", """
+        SELECT * REPLACE (
+          CASE WHEN failed_at < TIMESTAMP '2024-01-16' THEN 'resolved' ELSE status END AS status,
+          CASE WHEN failed_at < TIMESTAMP '2024-01-16' THEN TIMESTAMP '2024-02-01' END AS resolved_at,
+          CASE WHEN failed_at < TIMESTAMP '2024-01-16' THEN 'revisado' END AS notes) FROM dead"""),
     "dlq_list": sql("dead", """
         SELECT event_id, event_type, error_message, kafka_partition, kafka_offset, failed_at, status FROM dead
         ORDER BY failed_at DESC, dlq_id LIMIT 100"""),
@@ -325,3 +330,6 @@ _NULLABLE = {
 for _name, _columns in _NULLABLE.items():
     _casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _columns.split())
     ORACLE[_name] = f"SELECT * REPLACE ({_casts}) FROM ({ORACLE[_name]})"
+
+# Versions follow (occurred_at, event_id), and so does a replay without them.
+ORACLE["rebuild_unversioned"] = ORACLE["rebuild_read_model"]

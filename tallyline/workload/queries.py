@@ -165,6 +165,13 @@ def rebuild_stats(spark, sf_dir):
     return rebuild_read_model(_log(spark, sf_dir)).item_stats.select(*R.STATS)
 
 
+@registered("rebuild_unversioned")
+def rebuild_unversioned(spark, sf_dir):
+    """The versions of the log were never assigned: it is replayed by time."""
+    log = _log(spark, sf_dir).withColumn("version", F.lit(1))
+    return rebuild_read_model(log).item_stats.select(*R.STATS)
+
+
 def _streamed(spark, sf_dir):
     """The two streaming queries run until the input is used up; then the stored model is read."""
     root = run_dir(spark, "stream")
@@ -265,6 +272,17 @@ def dead_letters(spark, sf_dir):
     return _dlq(spark, sf_dir)
 
 
+@registered("incremental_dead_letters")
+def incremental_dead_letters(spark, sf_dir):
+    """All letters of a stored run over the first part are resolved; then all deliveries come again."""
+    every = I.deliveries(spark, sf_dir)
+    earlier = _stored(_before(every))
+    resolved = D.dlq_mark_resolved(earlier.dead_letters, earlier.dead_letters, NOW, "revisado").drop("changed")
+    root = run_dir(spark, "model")
+    write_read_model(every, root, activity=earlier.activity, ledger=earlier.ledger, dead_letters=resolved)
+    return read_read_model(spark, root).dead_letters
+
+
 @registered("dlq_list")
 def dlq_list(spark, sf_dir):
     return D.dlq_list(_dlq(spark, sf_dir), "failed").select(

@@ -79,3 +79,14 @@ def test_lookups(spark):
     for bad in (0, -1):
         with pytest.raises(ValueError):
             C.item_for(catalog, bad)
+
+
+def test_files_are_read_by_their_own_header(spark, tmp_path):
+    folder = write(tmp_path, "two", "myanimelist_id,title,Members\n1,Alpha,10\n")
+    (tmp_path / "two" / "other.csv").write_text('title,"myanimelist_id"\n"Beta, ""b""",2\n', encoding="utf-8")
+    got = read_catalog_csv(spark, folder)
+    assert records(got, "myanimelist_id", "title", "Members") == [("1", "Alpha", "10"), ("2", 'Beta, "b"', None)]
+
+
+def test_json_must_be_one_value(spark):
+    assert cleaned(spark, P.clean_json, "[1] x", '{"a":1,"a":2}', '{"a":1} {"b":2}', "[1]") == [None, '{"a":2}', None, "[1]"]

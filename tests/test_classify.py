@@ -1,3 +1,4 @@
+import json
 from datetime import datetime
 
 import pytest
@@ -92,7 +93,36 @@ def test_ledger_of_an_earlier_run(spark):
 
 def test_hot_ids_are_split_without_changing_outcomes(spark):
     bodies = [view("hot", duration_seconds=-1)] * 3 + [view("hot")] * 40 + [click(f"e{i}") for i in range(10)]
-    assert outcomes(spark, *bodies, hot_rows=4) == replay(bodies)["outcomes"]
+    assert outcomes(spark, *bodies) == replay(bodies)["outcomes"]
     rows = C.classify_rows(deliveries(spark, *bodies))
-    open_failures = C.outstanding_failures(C.rejected(rows), C.attempts(rows), hot_rows=1)
+    open_failures = C.outstanding_failures(C.rejected(rows), C.attempts(rows))
     assert records(open_failures, "offset") == [(0,), (1,), (2,)]
+
+
+def verdicts(spark, *bodies):
+    rows = C.classify_rows(deliveries(spark, *bodies))
+    return [r.verdict for r in rows.orderBy("offset").collect()]
+
+
+def test_text_must_be_one_json_object(spark):
+    """Trailing text, a second value, single quotes and a missing brace spoil a message; spaces around it do not."""
+    good = json.dumps(click("a"))
+    bodies = [good + " garbage", good + " " + good, good + "," + good, good + "}", good.replace('"', "'"), good[:-1],
+              "[" + good + "]", "", None, "5", " " + good + "\n"]
+    assert verdicts(spark, *bodies) == ["invalid"] * 10 + ["ok"]
+
+
+def test_ids_must_be_strings(spark):
+    assert verdicts(spark, click("a", user_id={"x": 1}), click("b", user_id=7), click(5)) == ["error"] * 3
+
+
+def test_times_with_a_zone_are_converted(spark):
+    zones = ["2024-01-01T02:00:00+02:00", "2024-01-01T00:00:00Z", "2023-12-31T19:00:00-0500", "2024-01-01T00:00:00"]
+    rows = C.classify_rows(deliveries(spark, *[click(f"e{i}", occurred_at=z) for i, z in enumerate(zones)]))
+    assert {(r.verdict, r.occurred_at.isoformat()) for r in rows.collect()} == {("ok", "2024-01-01T00:00:00")}
+    assert verdicts(spark, click("a", occurred_at="yesterday")) == ["error"]
+
+
+def test_order_fails_loudly_beyond_its_range(spark):
+    with pytest.raises(Exception, match="beyond the arrival order"):
+        C.classify_rows(deliveries(spark, click("a"), start=1 << 42)).select("ord").collect()

@@ -61,7 +61,7 @@ def test_refused(spark, c, reason, message):
 
 def test_hot_item_is_split(spark):
     many = [command("click", f"c{i}", anime_id=1) for i in range(50)] + [command("click", "x", anime_id=2)]
-    got = M.check_item_exists(frame(spark, *many), catalog(spark, 1), hot_rows=5)
+    got = M.check_item_exists(frame(spark, *many), catalog(spark, 1))
     assert records(got.groupBy("anime_id", "item_exists").count()) == [(1, True, 50), (2, False, 1)]
 
 
@@ -94,7 +94,7 @@ def test_log_is_appended_once(spark):
     assert [r.version for r in replay.collect()] == [1, 2, 3]
     assert L.events_for_aggregate(log, "anime_1", 5).count() == 0
     since = spark.createDataFrame([("anime_1", 1), ("anime_1", 2), ("anime_7", 0)], "aggregate_id string, from_version int")
-    assert [r.version for r in L.events_for_aggregates(log, since, hot_rows=1).collect()] == [2, 3]
+    assert [r.version for r in L.events_for_aggregates(log, since).collect()] == [2, 3]
     assert records(topic.to_messages(log), "key") == [("anime_1",)] * 3
 
 

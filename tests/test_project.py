@@ -1,17 +1,20 @@
+import json
 import random
 from datetime import datetime
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from helpers import click, deliveries, rating, records, replay, view
 from tallyline import schemas as S
 from tallyline.operators import activity as A
+from tallyline.operators import dead_letters as D
 from tallyline.operators import ledger as G
 from tallyline.operators.reports import STATS
 from tallyline.operators.classify import classify_events
 from tallyline.operators.dead_letters import add_dead_letters
-from tallyline.plans.project import project, read_read_model, write_read_model
+from tallyline.plans.project import project, read_read_model, rebuild_read_model, write_read_model
 from tallyline.session import run_dir
 
 
@@ -131,3 +134,33 @@ def test_fields_of_another_type_are_ignored(spark):
     root = run_dir(spark, "test")
     write_read_model(deliveries(spark, *bodies), root)
     agrees(read_read_model(spark, root), told)
+
+
+def test_replay_without_versions_goes_by_time(spark):
+    """All versions 1, over more than 250 days, with failing events on several aggregates."""
+    bodies = [rating(f"r{i}", float(i + 1), occurred_at=f"2024-0{i + 1}-15T00:00:00") for i in range(9)]
+    bodies += [view(f"bad{i}", -1, anime_id=10 + i, occurred_at="2024-01-01T00:00:00") for i in range(3)]
+    rows = [(b["event_id"], b["event_type"], b["aggregate_id"], json.dumps(b),
+             datetime.fromisoformat(b["occurred_at"]), 1, "{}", None, None) for b in reversed(bodies)]
+    model = rebuild_read_model(spark.createDataFrame(rows, S.EVENT_LOG))
+    assert [(r.anime_id, r.total_ratings, float(r.average_rating)) for r in model.item_stats.collect()] == [(1, 1, 9.0)]
+    assert model.dead_letters.select("dlq_id").distinct().count() == 3
+
+
+def test_second_run_keeps_dead_letters_and_their_status(spark):
+    first, second = run_dir(spark, "test-model"), run_dir(spark, "test-model")
+    sent = [click("a"), view("b", -1)]
+    write_read_model(deliveries(spark, *sent), first)
+    earlier = read_read_model(spark, first)
+    marked = D.dlq_mark_resolved(earlier.dead_letters, earlier.dead_letters, datetime(2024, 2, 1)).drop("changed")
+    write_read_model(deliveries(spark, view("c", -2), view("b", -1), start=1), second, activity=earlier.activity,
+                     ledger=earlier.ledger, dead_letters=marked)
+    assert records(read_read_model(spark, second).dead_letters, "event_id", "status") == [
+        ("b", "failed"), ("b", "resolved"), ("c", "failed")]
+
+
+def test_unfinished_model_is_refused(spark):
+    root = run_dir(spark, "test-model")
+    spark.range(1).write.parquet(f"{root}/activity")
+    with pytest.raises(Exception, match="finished"):
+        read_read_model(spark, root)

@@ -1,55 +1,34 @@
-import pytest
+"""Hot keys: the plain joins of the package are split by the planner at run time, without a list of keys."""
+
 from pyspark.sql import functions as F
 
 from helpers import records
-from tallyline.operators.skew import spread_join
-
-
-@pytest.fixture
-def sides(spark):
-    facts = spark.range(900).select(
-        F.col("id").alias("row"),
-        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 50)).alias("key"))
-    table = spark.createDataFrame([("hot", 1), ("k1", 2), ("k7", 3), ("other", 4)], "key string, v int")
-    return facts, table
-
-
-@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("hot_rows", [1, 7, 10**6])
-@pytest.mark.parametrize("spread", ["row", None])
-def test_same_rows_as_a_plain_join(sides, how, hot_rows, spread):
-    facts, table = sides
-    plain = facts.join(table, "key", how)
-    assert records(spread_join(facts, table, "key", how, spread, hot_rows=hot_rows), *plain.columns) == records(plain)
-
 
-def test_hot_and_null_keys_are_spread(spark, sides):
-    """With sort-merge joins the hot key and the rows without key end up in many partitions."""
-    facts, table = sides
-    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+SPLIT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+}
+
+
+def test_every_hot_key_is_spread(spark):
+    """Three hot keys and the rows without a key, in four partitions: each is worked on by several tasks."""
+    key = F.when(F.col("id") % 5 < 3, F.concat(F.lit("hot"), F.col("id") % 5)).when(
+        F.col("id") % 5 == 3, F.concat(F.lit("k"), F.col("id")))
+    facts = spark.range(0, 8000, 1, 8).select(F.col("id").alias("row"), key.alias("key"))
+    table = spark.createDataFrame([("hot0", 1), ("hot1", 2), ("hot2", 3), ("k3", 4)], "key string, v int")
+    saved = {k: spark.conf.get(k) for k in SPLIT}
     try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-        joined = spread_join(facts, table, "key", "left", "row", hot_rows=20)
-        parts = joined.select("key", F.spark_partition_id().alias("p")).groupBy("key").agg(F.countDistinct("p").alias("n"))
-        places = {r.key: r.n for r in parts.collect()}
-    finally:
-        for k, v in saved.items():
+        for k, v in SPLIT.items():
             spark.conf.set(k, v)
-    assert places["hot"] == 4 and places[None] == 4 and places["k1"] == 1
-
-
-def test_copies_are_not_shuffled(spark):
-    """Equal rows cannot be scattered by a column; they stay where they are."""
-    facts = spark.range(400).select(F.lit("hot").alias("key"), F.lit("same").alias("row"))
-    table = spark.createDataFrame([("hot", 1), ("k", 2)], "key string, v int")
-    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-        joined = spread_join(facts, table, "key", "left", hot_rows=10)
-        sizes = joined.groupBy(F.spark_partition_id().alias("p"), "v").count().collect()
+        joined = facts.join(table, "key", "left")
+        parts = joined.select("key", "v", F.spark_partition_id().alias("p"))
+        rows = parts.collect()
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
-    assert {r.v for r in sizes} == {1} and sum(r["count"] for r in sizes) == 400 and len(sizes) == 8
+    for hot, value in (("hot0", 1), ("hot1", 2), ("hot2", 3), (None, None)):
+        own = [r for r in rows if r.key == hot]
+        assert len(own) == 1600 and {r.v for r in own} == {value} and len({r.p for r in own}) > 1
+    assert records(facts.join(table, "key", "left_semi"), "key").count(("k3",)) == 1

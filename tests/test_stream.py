@@ -120,3 +120,11 @@ def test_copies_fold_before_the_shuffle(spark):
     rows = P.C.classify_rows(deliveries(spark, click("a")))
     plan = P.first_effects(rows)._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan.split("Exchange")[-1]
+
+
+def test_late_events_count_with_bounded_state(spark, feed):
+    """The fifth of six clicks, each in a micro-batch of its own, is dated two months earlier."""
+    for i in range(6):
+        feed.send(click(f"e{i}", occurred_at="2024-01-01T00:00:00" if i == 4 else f"2024-03-0{i + 1}T00:00:00"))
+    feed.run(horizon="1 hour")
+    assert records(feed.model().item_stats, "total_clicks") == [(6,)]
