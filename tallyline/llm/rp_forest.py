@@ -235,7 +235,9 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, key: str = "vec_id
     some = spark.sparkContext.broadcast((sample.column("id").to_numpy()[:FLOOR_ROWS], x[:FLOOR_ROWS]))
     kinds = f"tree int, leaf int, id long, v {rows.schema['v'].dataType.simpleString()}"
     index = rows.mapInArrow(_index(forest, longest), kinds)
-    asked = rows.where(F.col("id") % every == 0).dropDuplicates(["id", "v"]).mapInArrow(
+    # Walking the trees costs much more than reading a row, so the queries are dealt to as many tasks as a shuffle has.
+    asked = rows.where(F.col("id") % every == 0).dropDuplicates(["id", "v"]).repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "id").mapInArrow(
         _probe(forest, some, probes, k), f"{kinds}, floor double")
     asked = materialize(asked, "forest-probes")
 
