@@ -102,7 +102,9 @@ def fit_rows(rows: list[np.ndarray], grades: np.ndarray, grades_count: int, step
         above = np.clip((grades > k).mean() if len(grades) else 0.0, 1e-3, 1 - 1e-3)
         cuts[k] = -np.log(above / (1 - above))
     cuts = np.maximum.accumulate(cuts + 1e-3 * np.arange(len(cuts)))
-    n, target = max(len(rows), 1), grades[:, None] > np.arange(grades_count - 1)
+    if not len(rows):
+        return OrdinalModel(vocabulary, w, cuts)
+    n, target = len(rows), grades[:, None] > np.arange(grades_count - 1)
     velocity, speed = np.zeros_like(w), np.zeros_like(w)
     for step in range(steps):
         score = np.bincount(owner, weights=w[column], minlength=len(rows))[:len(rows)]
