@@ -296,13 +296,12 @@ class NgramJoin:
             .select("c1", "c2", F.col("first.doc").alias("rep"), F.col("first.row").alias("row")), "ngram-classes")
 
     def entries(self) -> DataFrame:
-        """(gram, doc, row, component) for index entries that at least two classes share; component: the class itself."""
+        """(gram, doc, n) for index entries that at least two classes share; n: how many share it."""
         order = self.spark.sparkContext.broadcast(frequency_classes(self.texts, self.width, self.counters))
         index = self.texts.mapInArrow(_index_rows(self.width, self.percent, order), "row long, grams array<long>")
         entries = index.join(self.classes.select("row", "rep"), "row").select(F.explode("grams").alias("gram"), "rep")
         shared = entries.withColumn("n", F.count("*").over(Window.partitionBy("gram")))
-        return materialize(shared.where("n > 1").select("gram", F.col("rep").alias("doc"), F.col("rep").alias("component")),
-                           "ngram-entries")
+        return materialize(shared.where("n > 1").select("gram", F.col("rep").alias("doc"), "n"), "ngram-entries")
 
     def signatures(self) -> DataFrame:
         """(doc, size, bits) of the classes."""
@@ -331,8 +330,9 @@ class NgramJoin:
             _admit(self.percent), "u long, v long").distinct()
 
     def still_open(self, entries: DataFrame, links: DataFrame) -> DataFrame:
-        """Entries whose members are not all connected by `links`."""
-        named = (entries.drop("component").join(components(links).withColumnRenamed("node", "doc"), "doc", "left")
+        """Entries whose members are not all connected by `links`, with the component of each. In an entry of few members
+        the stars have compared every pair."""
+        named = (entries.where(F.col("n") > STARS + 1).join(components(links).withColumnRenamed("node", "doc"), "doc", "left")
                  .select("gram", "doc", F.coalesce("component", "doc").alias("component")))
         split = named.groupBy("gram").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b")
         return materialize(named.join(split.select("gram"), "gram", "left_semi"), "ngram-open")
