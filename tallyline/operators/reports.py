@@ -68,12 +68,17 @@ def item_detail(catalog: DataFrame, stats: DataFrame) -> DataFrame:
 
 
 def top_items(top: DataFrame, catalog: DataFrame) -> DataFrame:
-    """A top list (at most 100 rows) with the catalog attributes where there are any.
-
-    The catalog is only probed: the list is broadcast to it, then the matches to the list."""
+    """A top list of at most MAX_REPORT_ROWS rows, more are refused, with the catalog attributes where there are any.
+
+    The list is worked out once, here. The catalog is only probed: the list is broadcast to it, then the matches
+    to the list."""
+    rows = top.limit(S.MAX_REPORT_ROWS + 1).collect()
+    if len(rows) > S.MAX_REPORT_ROWS:
+        raise ValueError(f"a top list has at most {S.MAX_REPORT_ROWS} rows")
+    listed = top.sparkSession.createDataFrame(rows, top.schema)
     items = shape_item(catalog).withColumnRenamed("myanimelist_id", "anime_id")
-    found = items.join(F.broadcast(top.select("anime_id")), "anime_id", "left_semi")
-    return top.join(F.broadcast(found), "anime_id", "left")
+    found = items.join(F.broadcast(listed.select("anime_id")), "anime_id", "left_semi")
+    return listed.join(F.broadcast(found), "anime_id", "left")
 
 
 def search_items(stats: DataFrame, term: str = "") -> DataFrame:

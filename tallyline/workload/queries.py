@@ -173,11 +173,20 @@ def rebuild_unversioned(spark, sf_dir):
 
 
 def _streamed(spark, sf_dir):
-    """The two streaming queries run until the input is used up; then the stored model is read."""
+    """The deliveries are published in three parts. After each the two streaming queries start again and run until the
+    topic is used up; the second time the model is compacted. Then the stored model is read."""
     root = run_dir(spark, "stream")
-    for query in P.run_projection_stream(
-            I.delivery_stream(spark, sf_dir), f"{root}/model", f"{root}/state", availableNow=True):
-        query.awaitTermination()
+    every = I.deliveries(spark, sf_dir)
+    last = every.agg(F.max("offset")).first()[0] or 0
+    # The parts follow the offsets; a cut after an even one parts the two deliveries of an event.
+    cuts = [-1, last // 3 // 2 * 2, 2 * last // 3 // 2 * 2, last]
+    for number, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        topic.publish_files(every.where(F.col("offset").between(low + 1, high)), f"{root}/topic")
+        stream = topic.read_files(spark, f"{root}/topic")
+        for query in P.run_projection_stream(stream, f"{root}/model", f"{root}/state", availableNow=True):
+            query.awaitTermination()
+        if number == 1:
+            P.compact(spark, f"{root}/model")
     return P.read_stream_model(spark, f"{root}/model")
 
 
