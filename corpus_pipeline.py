@@ -11,30 +11,42 @@ from tallyline.llm.queries import bpe_digests
 from tallyline.session import materialize
 
 
+def _keeping_columns(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What `stage` keeps of `docs`, with the columns of `docs`: those besides doc_id and text have names of their own
+    meanwhile, so that none clashes with a column of an operator."""
+    names = {c: c if c in ("doc_id", "text") else f"_own_{i}" for i, c in enumerate(docs.columns)}
+    kept = stage(docs.select(*[F.col(f"`{c}`").alias(own) for c, own in names.items()]))
+    return kept.select(*[F.col(own).alias(c) for c, own in names.items()])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model, fitted on the labels, does not reject."""
     labels = toxicity.severity_grades(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score(docs, toxicity.fit(docs, labels))
-    return scored.where(~F.col("rejected")).select(*docs.columns)
+    model = toxicity.fit(docs, labels)
+    return _keeping_columns(docs, lambda own: toxicity.score(own, model).where(~F.col("rejected")))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that at least three of them hold but for the last; n_chars follows the text."""
-    kept = line_dedup.drop_repeated_lines(docs).drop("n_lines", "n_dropped")
+    kept = _keeping_columns(docs, line_dedup.drop_repeated_lines)
     return kept.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares 80 % of its five-word shingles."""
-    return ngram_join.one_of_each_group(docs, width=5, percent=80)
+    return _keeping_columns(docs, lambda own: ngram_join.one_of_each_group(own, width=5, percent=80))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.contaminated_passages(numbered, benchmark, key="_row").select("_row").distinct()
-    return numbered.join(found, "_row", "left_anti").select(*docs.columns)
+
+    def clean(own: DataFrame) -> DataFrame:
+        numbered = own.withColumn("_row", F.monotonically_increasing_id())
+        found = decontaminate.contaminated_passages(numbered, benchmark, key="_row").select("_row").distinct()
+        return numbered.join(found, "_row", "left_anti")
+
+    return _keeping_columns(docs, clean)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
