@@ -79,7 +79,8 @@ class LineRuns:
         names = [n for level in self.levels for n in level]
         if not names:
             return self.spark.createDataFrame([], RUN)
-        return self.spark.table(names[0]) if len(names) == 1 else self._merged(self._all(names))
+        # Plain files, not the bucketed table: a join with it can then be split where one line fills a partition.
+        return self._all(names) if len(names) == 1 else self._merged(self._all(names))
 
     def unseen(self, lines: DataFrame) -> DataFrame:
         """The lines of a batch that no run holds, by a merge anti-join with each run."""
