@@ -1,8 +1,8 @@
 """Similarity join of texts by the Jaccard overlap of their word n-grams.
 
 Exact, in these steps. Texts of equal sets are one class. A class is indexed under the first n-grams of its set in one
-global order, rare ones first: two sets that are similar enough share one of them. The classes under one n-gram, sorted
-by set size, are cut into blocks; a tile is a pair of blocks whose sizes may still match. In a tile, bitmaps of hashed n-grams
+global order, rare ones first: two sets that are similar enough share one of them. The classes that meet under n-grams of
+one smallest class, sorted by set size, are cut into blocks; a tile is a pair of blocks whose sizes may still match. In a tile, bitmaps of hashed n-grams
 bound the overlap from above, and only pairs that the bound admits reach the exact intersection of sorted arrays.
 
 A group of many copies with small changes shares most of its index entries, so before any tile its members are
@@ -330,27 +330,33 @@ class NgramJoin:
             _admit(self.percent), "u long, v long").distinct()
 
     def still_open(self, entries: DataFrame, links: DataFrame) -> DataFrame:
-        """Entries whose members are not all connected by `links`, with the component of each. In an entry of few members
-        the stars have compared every pair."""
+        """(hub, doc, component): the members of entries that `links` do not connect. In an entry of few members the stars
+        have compared every pair.
+
+        Similar sets share many entries, mostly with the same smallest member: entries of one smallest member, their
+        hub, become one, so that a pair meets in a few tiles and not under every n-gram that it shares.
+        """
         named = (entries.where(F.col("n") > STARS + 1).join(components(links).withColumnRenamed("node", "doc"), "doc", "left")
                  .select("gram", "doc", F.coalesce("component", "doc").alias("component")))
-        split = named.groupBy("gram").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b")
-        return materialize(named.join(split.select("gram"), "gram", "left_semi"), "ngram-open")
+        split = named.groupBy("gram").agg(
+            F.min("component").alias("a"), F.max("component").alias("b"), F.min("doc").alias("hub")).where("a != b")
+        return materialize(named.join(split.select("gram", "hub"), "gram").select("hub", "doc", "component").distinct(),
+                           "ngram-open")
 
     def tiles(self, entries: DataFrame, signatures: DataFrame) -> DataFrame:
         """Pairs from all tiles. A member goes to the tiles of its block with every block whose sizes may match."""
         rows = entries.join(signatures, "doc")
-        place = F.row_number().over(Window.partitionBy("gram").orderBy("size", "doc"))
+        place = F.row_number().over(Window.partitionBy("hub").orderBy("size", "doc"))
         placed = materialize(rows.withColumn("block", F.floor((place - 1) / BLOCK).cast("int")), "ngram-placed")
-        spans = placed.groupBy("gram", "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+        spans = placed.groupBy("hub", "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
         a, b = spans.alias("a"), spans.alias("b")
-        near = (F.col("a.gram") == F.col("b.gram")) & (F.col("a.block") <= F.col("b.block")) & (
+        near = (F.col("a.hub") == F.col("b.hub")) & (F.col("a.block") <= F.col("b.block")) & (
             F.col("b.low") * self.percent <= F.col("a.high") * 100)
-        pairs = a.join(b, near).select(F.col("a.gram").alias("gram"), F.col("a.block").alias("i"), F.col("b.block").alias("j"))
-        ends = pairs.select("gram", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side")).union(
-            pairs.where("i != j").select("gram", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side")))
-        dealt = placed.join(ends, ["gram", "block"]).select("gram", "i", "j", "side", "doc", "size", "component", "bits")
-        return dealt.groupBy("gram", "i", "j").applyInArrow(_tile(self.percent), "u long, v long").distinct()
+        pairs = a.join(b, near).select(F.col("a.hub").alias("hub"), F.col("a.block").alias("i"), F.col("b.block").alias("j"))
+        ends = pairs.select("hub", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side")).union(
+            pairs.where("i != j").select("hub", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side")))
+        dealt = placed.join(ends, ["hub", "block"]).select("hub", "i", "j", "side", "doc", "size", "component", "bits")
+        return dealt.groupBy("hub", "i", "j").applyInArrow(_tile(self.percent), "u long, v long").distinct()
 
     def links(self) -> DataFrame:
         """Links that connect what all links connect."""
