@@ -25,8 +25,8 @@ SLICE_BYTES = 1 << 20
 #: Counters of the frequency table that orders n-grams. It is broadcast as one byte each, whatever the input.
 COUNTERS = 1 << 18
 COUNTER_BLOCK = 1 << 12
-#: 64-bit words of a bitmap: about two bits per member, a power of two between these.
-LEAST_WORDS, MOST_WORDS = 8, 128
+#: 64-bit words of a bitmap: at least four bits per member, a power of two between these.
+LEAST_WORDS, MOST_WORDS = 8, 256
 BLOCK = 1024
 #: Bits of the hashed table that says which texts' sets are wanted; others may pass by chance and do no harm.
 WANTED_BITS = 1 << 23
@@ -187,7 +187,7 @@ def _set_rows(width: int, wanted):
 
 
 def bitmap(values: np.ndarray) -> bytes:
-    words = min(max(LEAST_WORDS, 1 << max(len(values) // 32 - 1, 0).bit_length()), MOST_WORDS)
+    words = min(max(LEAST_WORDS, 1 << max(len(values) // 16 - 1, 0).bit_length()), MOST_WORDS)
     bits = np.zeros(words * 64, bool)
     with np.errstate(over="ignore"):
         bits[(mix(values + np.uint64(1)) % np.uint64(words * 64)).astype(np.int64)] = True
