@@ -318,10 +318,15 @@ class NgramJoin:
         return materialize(joined.mapInArrow(_verify(self.percent), "u long, v long").distinct(), "ngram-links")
 
     def stars(self, entries: DataFrame, signatures: DataFrame) -> DataFrame:
-        """Admitted pairs of each member of an entry with a few of them, picked by hash."""
+        """Admitted pairs of each member of an entry with a few of them, picked by hash. The hashes may pick one member more
+        than once, so an entry of at most STARS + 1 members has all but one of them as centres, which gives every pair."""
         orders = [F.struct(F.xxhash64(F.lit(i), "doc"), F.col("doc")) for i in range(STARS)]
-        centres = (entries.groupBy("gram").agg(*[F.min(o).alias(f"c{i}") for i, o in enumerate(orders)])
-                   .select("gram", F.explode(F.array_distinct(F.array(*[f"c{i}.doc" for i in range(STARS)]))).alias("centre")))
+        few = F.col("n") <= STARS + 1
+        large = (entries.where(~few).groupBy("gram").agg(*[F.min(o).alias(f"c{i}") for i, o in enumerate(orders)])
+                 .select("gram", F.array_distinct(F.array(*[f"c{i}.doc" for i in range(STARS)])).alias("centres")))
+        small = (entries.where(few).groupBy("gram").agg(F.sort_array(F.collect_list("doc")).alias("docs"))
+                 .select("gram", F.slice("docs", 1, STARS).alias("centres")))
+        centres = large.union(small).select("gram", F.explode("centres").alias("centre"))
         pairs = (entries.join(centres, "gram").where("doc != centre")
                  .select(F.least("doc", "centre").alias("u"), F.greatest("doc", "centre").alias("v")).distinct())
         fits = F.least("size_u", "size_v") * 100 >= F.greatest("size_u", "size_v") * self.percent

@@ -61,6 +61,20 @@ def test_documents(spark):
     assert rows(got, "doc_id", "n_shingles", "component_id") == brute([(r.doc_id, r.text) for r in documents(spark).collect()], 4, 85)
 
 
+def test_small_entries_miss_no_pair(spark):
+    """Groups of three and four texts under the same n-grams, in which only some pairs link, whatever the ids hash to."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    texts = []
+    for g in range(160):
+        own = [f"g{g}w{i}" for i in range(40)]
+        texts += [" ".join([*own[:-1], "a"]), f"{' '.join(own)} {passage} a", " ".join([*own[:-1], "b"])]
+        if g % 2:
+            texts.append(f"{' '.join(own)} {passage} b")
+    texts = list(enumerate(texts))
+    got = N.ngram_components(spark.createDataFrame(texts, "doc_id long, text string"), width=4, percent=85)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == brute(texts, 4, 85)
+
+
 def test_odd_rows(spark):
     df = frame(spark)
     got = rows(N.ngram_components(df), "doc_id", "n_shingles", "component_id")
