@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import bpe, decontaminate, line_dedup, ngram_join, toxicity
 from tallyline.llm.queries import bpe_digests
-from tallyline.session import materialize
+from tallyline.session import materialize, numbered
 
 
 def _keeping_columns(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -42,9 +42,9 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
 
     def clean(own: DataFrame) -> DataFrame:
-        numbered = own.withColumn("_row", F.monotonically_increasing_id())
-        found = decontaminate.contaminated_passages(numbered, benchmark, key="_row").select("_row").distinct()
-        return numbered.join(found, "_row", "left_anti")
+        rows = numbered(own, "corpus-texts")
+        found = decontaminate.contaminated_passages(rows, benchmark, key="_row").select("_row").distinct()
+        return rows.join(found, "_row", "left_anti")
 
     return _keeping_columns(docs, clean)
 

@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from tallyline.llm.components import components
 from tallyline.llm.text import WordHasher, byte_slices, list_array, mix, shingles, utf8
-from tallyline.session import materialize
+from tallyline.session import materialize, numbered
 
 SLICE_BYTES = 1 << 20
 #: Counters of the frequency table that orders n-grams. It is broadcast as one byte each, whatever the input.
@@ -281,12 +281,13 @@ def _with(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
 
 
 class NgramJoin:
-    """The join over one table of texts. Only narrow rows are shuffled: the texts are read once more for each step."""
+    """The join over one `numbered` table of texts. Only narrow rows are shuffled: the texts are read once more for each
+    step, always from that table, so that a row has one number and one text in all of them."""
 
     def __init__(self, documents: DataFrame, key: str, text: str, width: int, percent: int, counters: int):
         self.width, self.percent, self.counters = width, percent, counters
         self.spark = documents.sparkSession
-        self.texts = documents.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("doc"),
+        self.texts = documents.select(F.col("_row").alias("row"), F.col(key).cast("long").alias("doc"),
                                       F.coalesce(F.col(text), F.lit("")).alias("text"))
         self.rows = materialize(self.texts.mapInArrow(
             _class_rows(width), "row long, doc long, size int, c1 long, c2 long, bits binary"), "ngram-rows")
@@ -389,7 +390,8 @@ def ngram_components(documents: DataFrame, key: str = "doc_id", text: str = "tex
     Rows of equal sets are linked whatever their keys; rows with one key share its component. A row with a null key
     has a null component and links nothing. Other columns are left out.
     """
-    rows = NgramJoin(documents, key, text, width, percent, counters).members()
+    own = numbered(documents.select(key, text), "ngram-texts")
+    rows = NgramJoin(own, key, text, width, percent, counters).members()
     return rows.select(F.col("doc").alias(key), F.col("size").cast("long").alias("n_shingles"), "component_id")
 
 
@@ -399,9 +401,9 @@ def one_of_each_group(documents: DataFrame, key: str = "doc_id", text: str = "te
 
     Rows with an empty set or a null key all stay. Columns are kept as they are.
     """
-    rows = NgramJoin(documents, key, text, width, percent, counters).members()
+    own = numbered(documents, "ngram-texts")
+    rows = NgramJoin(own, key, text, width, percent, counters).members()
     grouped = rows.where("size > 0 and doc is not null")
     first = grouped.groupBy("component_id").agg(F.min(F.struct("doc", "row"))["row"].alias("first"))
     gone = grouped.join(first, "component_id").where("row != first").select(F.col("row").alias("_row"))
-    return (documents.withColumn("_row", F.monotonically_increasing_id()).join(gone, "_row", "left_anti")
-            .select(*documents.columns))
+    return own.join(gone, "_row", "left_anti").select(*documents.columns)

@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tallyline",
@@ -47,3 +48,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = run_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, name: str, column: str = "_row") -> DataFrame:
+    """`df` with a number for each row, written once: worked out anew on another scan the numbers may fall differently."""
+    return materialize(df.withColumn(column, F.monotonically_increasing_id()), name)

@@ -2,6 +2,9 @@
 
 import re
 
+import numpy as np
+import pyarrow as pa
+
 SF_DIR = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SCHEMA = "doc_id long, text string, n_tokens string, ids string, severity string, rejected string, n_lines string, row string, size string"
@@ -22,6 +25,17 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+def reordered(df):
+    """`df` with its rows in another order on each scan."""
+
+    def run(batches):
+        rows = pa.Table.from_batches(batches)
+        if rows.num_rows:
+            yield from rows.take(pa.array(np.random.default_rng().permutation(rows.num_rows))).to_batches()
+
+    return df.coalesce(1).mapInArrow(run, df.schema)
+
+
 def documents(spark):
     return spark.read.parquet(f"{SF_DIR}/documents.parquet")
 

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from llm.shared import documents, empty, frame, rows, words
+from llm.shared import documents, empty, frame, reordered, rows, words
 from tallyline.llm import ngram_join as N
 from tallyline.llm.components import components
 
@@ -75,6 +75,14 @@ def test_small_entries_miss_no_pair(spark):
     assert rows(got, "doc_id", "n_shingles", "component_id") == brute(texts, 4, 85)
 
 
+def test_input_in_another_order_on_each_scan(spark):
+    texts = varied(5)
+    df = reordered(spark.createDataFrame(texts, "doc_id long, text string"))
+    want = brute(texts, 5, 80)
+    assert rows(N.ngram_components(df), "doc_id", "n_shingles", "component_id") == want
+    assert sorted(r.doc_id for r in N.one_of_each_group(df).collect()) == sorted({c if n else i for i, n, c in want})
+
+
 def test_odd_rows(spark):
     df = frame(spark)
     got = rows(N.ngram_components(df), "doc_id", "n_shingles", "component_id")

@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 import corpus_pipeline as P
 import public_tokenizers
 from compare import duck_result, spark_result
-from llm.shared import SF_DIR, documents, empty, frame
+from llm.shared import SF_DIR, documents, empty, frame, reordered
 from tallyline.llm.queries import QUERIES, SQL
 from llm.test_line_dedup import brute as brute_lines
 from llm.test_ngram_join import brute as brute_groups
@@ -49,6 +49,13 @@ def test_stages_take_odd_rows(spark):
         assert stage(spark, empty(spark), SF_DIR).count() == 0
 
 
+def test_leaks_of_an_input_in_another_order_on_each_scan(spark):
+    docs = documents(spark)
+    clean = P.drop_leaks(spark, reordered(docs), SF_DIR)
+    bad = {r.doc_id for r in QUERIES["op5_decontaminate"](spark, SF_DIR).collect()}
+    assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in docs.collect()} - bad
+
+
 def test_run(spark):
     ids = {r.doc_id for r in P.run(spark, SF_DIR).collect()}
     assert ids and ids < {r.doc_id for r in documents(spark).select("doc_id").collect()}
