@@ -196,9 +196,9 @@ class WordBpe:
 
     def _pieces(self, text: str) -> list[str]:
         """Words of one text as the file's normalizer and splitter give them."""
-        if not BEYOND.search(text):
-            return PLAIN.findall(text.lower()) if "İ" not in text else self._exotic(text)
-        return self._exotic(text)
+        low = text.lower()
+        # Some capitals below U+0250 have small letters beyond it.
+        return self._exotic(text) if BEYOND.search(low) else PLAIN.findall(low)
 
     def _exotic(self, text: str) -> list[str]:
         cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))

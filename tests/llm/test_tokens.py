@@ -56,6 +56,13 @@ def test_any_text_encodes_as_in_the_library(text):
     assert coder.decode(want) == tokenizer.decode(want, skip_special_tokens=False)
 
 
+def test_every_character_below_the_fast_limit():
+    coder = bpe.coder_for(WORDS)
+    for code in range(0x250):
+        for text in (chr(code), f"{chr(code)}li", f"A{chr(code)}B", f"7 {chr(code)}{chr(code)}'s x"):
+            assert coder.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, (hex(code), text)
+
+
 def test_long_words(spark):
     coder = bpe.coder_for(WORDS)
     for word in ("a" * 5000, "ing" * 3000, "thequickbrownfox" * 500):
