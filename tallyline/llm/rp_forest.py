@@ -2,12 +2,14 @@
 
 Inner product becomes nearness by one more coordinate, sqrt(M^2 - |x|^2), that gives all candidates the length M. The trees
 are fitted on a bounded sample; every row is indexed in every tree. A query walks all trees through one priority queue,
-nearest unvisited branch first, until it has its number of leaves. Leaf members are then ranked exactly.
+nearest unvisited branch first, until it has its number of leaves: as many as held-out queries needed for nearly all of
+their true neighbours among all rows. Leaf members are then ranked exactly.
 """
 
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,11 @@ from tallyline.session import materialize
 FIT_ROWS = 20_000
 TREES = 20
 LEAF_ROWS = 128
-#: Leaves a query visits, over all trees.
+#: Leaves a query visits at least, over all trees, and the recall that held-out queries must reach with these or more.
 PROBES = 320
+RECALL = 0.95
+#: Queries held out to find the number of leaves.
+HELD = 100
 #: Rows of the sample that give each query a floor: its k-th best score among them, which its k-th best of all reaches.
 FLOOR_ROWS = 4096
 #: Rows and queries that meet in one tile at most, about.
@@ -86,21 +91,34 @@ def build_tree(x: np.ndarray, leaf_rows: int, seed: int) -> Tree:
     return Tree(np.array(normals).reshape(-1, width), np.array(offsets), np.array(children, int).reshape(-1, 2), root)
 
 
-def search(forest: list[Tree], query: np.ndarray, probes: int) -> list[tuple[int, int]]:
-    """(tree, leaf) of the leaves nearest to a query, over all trees through one queue."""
+def walk(forest: list[Tree], query: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(tree, leaf) of all leaves, nearest to the query first, over all trees through one queue."""
     sides = [t.normals @ query - t.offsets for t in forest]
     queue = [(0.0, i, t.root) for i, t in enumerate(forest)]
     heapq.heapify(queue)
-    found = []
-    while queue and len(found) < probes:
+    while queue:
         far, tree, node = heapq.heappop(queue)
         while node >= 0:
             side = sides[tree][node]
             near, other = forest[tree].children[node] if side >= 0 else forest[tree].children[node][::-1]
             heapq.heappush(queue, (max(far, abs(side)), tree, int(other)))
             node = int(near)
-        found.append((tree, -node - 1))
-    return found
+        yield tree, -node - 1
+
+
+def search(forest: list[Tree], query: np.ndarray, probes: int) -> list[tuple[int, int]]:
+    """(tree, leaf) of the leaves nearest to a query."""
+    return list(islice(walk(forest, query), probes))
+
+
+def direction(q: np.ndarray) -> np.ndarray:
+    """A query as the trees see it."""
+    return np.append(q / max(np.linalg.norm(q), 1e-300), 0.0)
+
+
+def widened(x: np.ndarray, longest: float) -> np.ndarray:
+    """Candidates as the trees see them, all of one length."""
+    return np.column_stack([x, np.sqrt(np.maximum(longest ** 2 - (x ** 2).sum(axis=1), 0))])
 
 
 def floors(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
@@ -143,8 +161,7 @@ def _index(forest, longest: float):
             if not batch.num_rows:
                 continue
             x = _matrix(batch.column("v"))
-            rest = np.sqrt(np.maximum(longest ** 2 - (x ** 2).sum(axis=1), 0))
-            wide = np.column_stack([x, rest])
+            wide = widened(x, longest)
             for i, tree in enumerate(trees):
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays(
@@ -163,7 +180,7 @@ def _probe(forest, some, probes: int, k: int):
             rows, found, queries = [], [], _matrix(batch.column("v"))
             low = floors(queries, batch.column("id").to_numpy(), some_ids, some_x, k)
             for i, q in enumerate(queries):
-                leaves = search(trees, np.append(q / max(np.linalg.norm(q), 1e-300), 0.0), probes)
+                leaves = search(trees, direction(q), probes)
                 rows += [i] * len(leaves)
                 found += leaves
             picked = batch.take(pa.array(rows, pa.int64()))
@@ -175,6 +192,74 @@ def _probe(forest, some, probes: int, k: int):
     return run
 
 
+def _best_rows(held, k: int):
+    """A partition's best rows for each held-out query, by exact scores."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, queries = held.value
+        best = [None] * len(own)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, x = batch.column("id").to_numpy(), _matrix(batch.column("v"))
+            for i, score in enumerate(queries @ x.T):
+                at = np.flatnonzero(ids != own[i])
+                at = at[np.lexsort((ids[at], -score[at]))][:4 * k] if len(at) <= 4 * k else at[
+                    np.argpartition(-score[at], 4 * k)[:4 * k]]
+                rows = (ids[at], score[at], x[at])
+                if best[i] is not None:
+                    rows = tuple(np.concatenate(c) for c in zip(best[i], rows, strict=True))
+                order = np.lexsort((rows[0], -rows[1]))
+                order = order[np.sort(np.unique(rows[0][order], return_index=True)[1])][:k]
+                best[i] = tuple(c[order] for c in rows)
+        for i, rows in enumerate(best):
+            if rows is not None:
+                ends = np.arange(len(rows[0]) + 1, dtype=np.int32) * queries.shape[1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(rows[0]), i, np.int32)), pa.array(rows[0]), pa.array(rows[1]),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(rows[2].ravel()))],
+                    names=["query", "id", "score", "v"])
+
+    return run
+
+
+def _needed(forest, held, longest: float, k: int):
+    """After how many leaves a held-out query has met each of its true neighbours."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        trees, ids, score = forest.value, table.column("id").to_numpy(), table.column("score").to_numpy()
+        order = np.lexsort((ids, -score))
+        order = order[np.sort(np.unique(ids[order], return_index=True)[1])][:k]
+        wide = widened(_matrix(table.column("v").combine_chunks())[order], longest)
+        lies: dict[tuple[int, int], list[int]] = {}
+        for i, tree in enumerate(trees):
+            for n, leaf in enumerate(tree.leaves(wide).tolist()):
+                lies.setdefault((i, leaf), []).append(n)
+        met: dict[int, int] = {}
+        for leaves, place in enumerate(walk(trees, direction(held.value[1][key[0].as_py()])), 1):
+            for n in lies.get(place, ()):
+                met.setdefault(n, leaves)
+            if len(met) == len(order):
+                break
+        return pa.table({"leaves": pa.array(list(met.values()), pa.int32())})
+
+    return run
+
+
+def probes_needed(rows: DataFrame, forest, longest: float, every: int, k: int, recall: float) -> int:
+    """How many leaves held-out queries must visit in this forest until they have met the share `recall` of their `k` best
+    among all rows. rows: (id, v). Queries of the largest hashes are held out, which the sample of the trees has last."""
+    asked = rows.where(F.col("id") % every == 0).orderBy(F.xxhash64("id").desc(), "id").limit(HELD).toArrow()
+    if not asked.num_rows:
+        return 0
+    held = rows.sparkSession.sparkContext.broadcast(
+        (asked.column("id").to_numpy(), _matrix(asked.column("v").combine_chunks())))
+    best = rows.mapInArrow(_best_rows(held, k), "query int, id long, score double, v array<double>")
+    met = best.groupBy("query").applyInArrow(_needed(forest, held, longest, k), "leaves int").toArrow()
+    leaves = np.sort(met.column("leaves").to_numpy())
+    return int(leaves[int(np.ceil(recall * len(leaves))) - 1]) if len(leaves) else 0
+
+
 def _tile(k: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         asked = table.column("asks").to_numpy().astype(bool)
@@ -205,7 +290,7 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, key: str = "vec_id", vector: str = "embedding",
-            trees: int = TREES, leaf_rows: int = LEAF_ROWS, probes: int = PROBES,
+            trees: int = TREES, leaf_rows: int = LEAF_ROWS, probes: int | None = None,
             fit_rows_at_most: int = FIT_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by `every`, its `k` best other rows found.
 
@@ -214,6 +299,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, key: str = "vec_id
     length than most have (of the longer length on a tie). Rows of one id count once for a query, with the best score; a
     query never finds its own id. An empty table gives no rows. Other columns are left out.
 
+    A query visits `probes` leaves; if none are given, PROBES or as many as `probes_needed` finds for RECALL.
     The number of leaves grows with the rows up to what the sample can carry; leaves, whatever their size, are dealt
     in tiles of bounded rows and queries, so that many equal vectors or equal queries do not meet in one task.
     """
@@ -228,10 +314,12 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, key: str = "vec_id
     longest = float(np.sqrt(shape.most))
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(fit_rows_at_most).select("id", "v").toArrow()
     x = _matrix(sample.column("v").combine_chunks())
-    wide = np.column_stack([x, np.sqrt(np.maximum(longest ** 2 - (x ** 2).sum(axis=1), 0))])
+    wide = widened(x, longest)
     in_sample = max(int(leaf_rows * len(x) / shape.rows), 8)
     forest = spark.sparkContext.broadcast([build_tree(wide, in_sample, seed) for seed in range(trees)])
 
+    if probes is None:
+        probes = max(PROBES, probes_needed(rows, forest, longest, every, k, RECALL))
     some = spark.sparkContext.broadcast((sample.column("id").to_numpy()[:FLOOR_ROWS], x[:FLOOR_ROWS]))
     kinds = f"tree int, leaf int, id long, v {rows.schema['v'].dataType.simpleString()}"
     index = rows.mapInArrow(_index(forest, longest), kinds)

@@ -49,6 +49,14 @@ def test_lengths_count(spark):
     assert np.mean([len(dict(got[q]).keys() & dict(want[q]).keys()) / 5 for q in want]) >= 0.9
 
 
+def test_recall_where_the_usual_leaves_are_a_small_part(spark):
+    """Vectors without structure in small leaves, so that a query must visit many more leaves than in the other tests."""
+    x = np.random.default_rng(5).normal(size=(12_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got, want = found(frame(spark, x), every=100, leaf_rows=16), brute(np.arange(12_000), x, 100, 20)
+    assert np.mean([len(dict(got[q]).keys() & dict(want[q]).keys()) / 20 for q in want]) >= 0.9
+
+
 def test_ties_and_many_equal_vectors(spark, monkeypatch):
     monkeypatch.setattr(R, "TILE_ROWS", 50)
     monkeypatch.setattr(R, "TILE_QUERIES", 3)
