@@ -3,7 +3,8 @@
 Passages of all documents are tf-idf rows over hashed words. A randomised decomposition of their matrix, summed up over
 all passages in one distributed pass, gives a space of few dimensions. Windows of documents near a window of an item
 there, and near it also in the plain random projection that the decomposition starts from, are candidates; the longest
-common subsequence with the item, and for weaker ones the item's answer, decide.
+common subsequence with the item, and for weaker ones the item's answer, decide. Places that share a run of words with an
+item are judged whatever their vectors are, so that whole items, and those with a fifth of their words replaced, are not missed.
 """
 
 from collections.abc import Iterator
@@ -28,6 +29,8 @@ PASSAGE, WINDOW, STEP, ITEM_STEP = 48, 24, 12, 4
 COSINE, PLAIN_COSINE = 0.3, 0.5
 #: Items of one block: each block is broadcast, and searched against all documents, on its own.
 BLOCK_ITEMS, BLOCK_BYTES = 2048, 4 << 20
+#: Words of a run that documents are looked up by; an item of fewer words is one run. Bits of the table that is asked first.
+RUN, RUN_BITS = 3, 20
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,13 +165,41 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Items:
-    """A block of items: ids, word hashes, answers, and the latent vectors of their windows with the item of each."""
+    """A block of items: ids, word hashes, answers, the latent vectors of their windows with the item of each, and by length
+    the hashes of their runs of words, in order, with the item and place of each."""
 
     ids: list
     words: list[np.ndarray]
     answers: list[np.ndarray]
     vectors: np.ndarray
     owner: np.ndarray
+    runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
+    """A hash for each run of `length` words."""
+    n = max(len(words) - length + 1, 0)
+    out = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(length):
+            out = (out + words[k:k + n] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+    return out
+
+
+def runs_of(words: list[np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    found: dict[int, list[tuple]] = {}
+    for i, w in enumerate(words):
+        if len(w):
+            length = min(len(w), RUN)
+            hashes = run_hashes(w, length)
+            found.setdefault(length, []).append((hashes, np.full(len(hashes), i), np.arange(len(hashes))))
+    out = {}
+    for length, parts in found.items():
+        hashes, item, place = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.argsort(hashes, kind="stable")
+        out[length] = hashes[order], item[order], place[order]
+    return out
 
 
 def make_items(rows: list[tuple], table: np.ndarray) -> Items:
@@ -184,7 +215,8 @@ def make_items(rows: list[tuple], table: np.ndarray) -> Items:
         for s in starts:
             vectors.append(table[:, w[s:s + WINDOW] % DIMS].sum(axis=1)[None, :])
             owner.append(i)
-    return Items([r[0] for r in rows], words, answers, unit(np.concatenate(vectors)), np.array(owner, np.int64))
+    return Items([r[0] for r in rows], words, answers, unit(np.concatenate(vectors)), np.array(owner, np.int64),
+                 runs_of(words))
 
 
 def answer(text: str) -> str:
@@ -247,6 +279,34 @@ def _search(items, table, cosine: float, strong: float, weak: float):
     return run
 
 
+def _alike(words: np.ndarray, rows: np.ndarray, block: Items, strong: float, weak: float) -> Iterator[tuple[int, int, int]]:
+    """(row, item, place of its first word) where a document has a run of an item's words, and the item around it."""
+    places = []
+    for length, (hashes, item, place) in block.runs.items():
+        table = np.zeros(1 << RUN_BITS, bool)
+        table[hashes >> np.uint64(64 - RUN_BITS)] = True
+        here = run_hashes(words, length)
+        at = np.flatnonzero(table[here >> np.uint64(64 - RUN_BITS)])
+        low, high = (np.searchsorted(hashes, here[at], side) for side in ("left", "right"))
+        at, low, n = at[high > low], low[high > low], (high - low)[high > low]
+        entry = np.repeat(low - np.concatenate([[0], np.cumsum(n)])[:-1], n) + np.arange(n.sum())
+        at = np.repeat(at, n)
+        row = np.searchsorted(rows, at, "right") - 1
+        inside = at + length <= rows[row + 1]
+        places.append(np.stack([row, item[entry], at - place[entry]], axis=1)[inside])
+    # Runs of one copy begin their item at nearly one place; they are judged once.
+    found = np.concatenate([np.zeros((0, 3), np.int64), *places])
+    step = np.maximum(np.array([len(w) for w in block.words], np.int64) // 8, 1)[found[:, 1]]
+    found[:, 2] = found[:, 2] // step * step
+    for row, item, start in np.unique(found, axis=0).tolist():
+        wanted = block.words[item]
+        slack = max(len(wanted) // 4, 2)
+        a, b = max(int(rows[row]), start - slack), min(int(rows[row + 1]), start + len(wanted) + len(wanted) // 8 + slack)
+        region = words[a:b]
+        if np.isin(region, wanted).sum() >= weak * len(wanted) and judge(wanted, block.answers[item], region, strong, weak)[2]:
+            yield row, item, max(start, int(rows[row]))
+
+
 def _matches(words: np.ndarray, rows: np.ndarray, block: Items, latent: np.ndarray, cosine: float, strong: float,
              weak: float) -> Iterator[tuple]:
     starts, owner = cut_rows(rows, STEP)
@@ -262,6 +322,10 @@ def _matches(words: np.ndarray, rows: np.ndarray, block: Items, latent: np.ndarr
         near = np.einsum("ij,ij->i", part[i, :RANK], block.vectors[j, :RANK])
         for a, b, c in zip(low + i[near >= cosine], j[near >= cosine], near[near >= cosine], strict=True):
             by_item.setdefault((int(owner[a]), int(block.owner[b])), []).append((int(starts[a]), float(c)))
+    for row, item, at in _alike(words, rows, block, strong, weak):
+        window = windows[np.searchsorted(starts, at, "right") - 1, :RANK]
+        near = float((block.vectors[block.owner == item, :RANK] @ window).max())
+        by_item.setdefault((row, item), []).append((at, near))
     for (row, item), found in by_item.items():
         wanted, begin, end = block.words[item], int(rows[row]), int(rows[row + 1])
         # Windows whose surroundings meet are judged together.

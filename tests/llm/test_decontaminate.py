@@ -37,6 +37,29 @@ def test_planted_passages(spark, monkeypatch):
     assert got == want
 
 
+def test_short_and_changed_items(spark):
+    """Items of all lengths as they are, and with a fifth of their words replaced, the rarest ones too."""
+    random_ = random.Random(11)
+    common = [f"c{i}" for i in range(60)]
+    items, docs, want = [], [], set()
+    for i in range(120):
+        size = random_.choice([1, 2, 4, 6, 8, 12, 24, 40])
+        said = [random_.choice(common) if k % 3 else f"rare{i}x{k}" for k in range(size)]
+        items.append((i, " ".join(said)))
+        copy = list(said)
+        if size >= 10 and i % 2:
+            for at in range(0, size // 5 * 3, 3):
+                copy[at] = f"other{i}x{at}"
+        own = [random_.choice(common) if random_.random() < 0.5 else f"own{i}x{k}" for k in range(200)]
+        own[100:100] = copy
+        docs.append((i, " ".join(own)))
+        want.add((i, i))
+    docs += [(1000 + i, " ".join(random_.choice(common) for _ in range(150))) for i in range(30)]
+    got = D.contaminated_passages(spark.createDataFrame(docs, "doc_id long, text string"),
+                                  spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want
+
+
 def test_whole_items_in_the_table(spark):
     docs, items = documents(spark), spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
     flat = lambda t: " ".join(t.split())
