@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, chat, decontaminate, line_dedup, ngram_join, pii, rp_forest, token_counts, toxicity, warc
-from tallyline.session import run_dir
+from tallyline.llm import (
+    bpe, chat, decontaminate, licenses, line_dedup, ngram_join, periodic_runs, pii, prefix_trie, rp_forest, token_counts, toxicity,
+    warc,
+)
+from tallyline.session import materialize, run_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,6 +144,196 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+NAMED, STATED = 0.5, 1.0
+
+
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """score: 1 where the whole wording of a template stands, else 0.5 where a phrase names a license, else 0."""
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+    base = F.filter("matches", lambda m: m["base"])
+
+    def labels(matches: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))), ",")
+
+    starts = F.transform(base, lambda m: m["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), labels(base).alias("base_labels"), labels(F.col("matches")).alias("labels"),
+        F.when(F.exists("matches", lambda m: ~m["base"]), STATED).when(F.size(base) > 0, NAMED).otherwise(0.0).alias("score"))
+
+
+def _wording(parts: tuple) -> str:
+    """A template as a regular expression over words that each end in a space."""
+    def one(part) -> str:
+        if isinstance(part, licenses.Region):
+            return f"(?:{_wording(part.parts)})?"
+        if isinstance(part, licenses.Gap):
+            return f"(?:[^ ]+ ){{{part.least},{part.most}}}"
+        return part.decode() + " "
+
+    return "".join(map(one, parts))
+
+
+def _op11_sql() -> str:
+    phrases = ", ".join(f"('{label}', '{text}')" for label, text in licenses.PHRASES)
+    templates = ", ".join(f"('{label}', ' {_wording(licenses.parse(text))}')" for label, text in licenses.TEMPLATES)
+    return rf"""
+WITH phrases(label, phrase) AS (VALUES {phrases}), templates(label, wording) AS (VALUES {templates}),
+d AS (SELECT doc_id, trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' ') AS body FROM documents),
+w AS (SELECT doc_id, body, CASE WHEN body = '' THEN [] ELSE string_split(body, ' ') END AS words FROM d),
+p AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS place FROM w),
+l AS (SELECT *, lead(word) OVER o AS second, lead(word, 2) OVER o AS third FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY place)),
+b AS (SELECT doc_id, place, label FROM l, phrases
+      WHERE phrase = word || ' ' || second OR phrase = word || ' ' || second || ' ' || third),
+t AS (SELECT DISTINCT doc_id, label FROM w, templates WHERE regexp_matches(' ' || body || ' ', wording)),
+bs AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+              string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY doc_id),
+ls AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+       FROM (SELECT doc_id, label FROM b UNION SELECT doc_id, label FROM t) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN w.doc_id IN (SELECT doc_id FROM t) THEN 1.0::DOUBLE WHEN n_base > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
+FROM w LEFT JOIN bs USING (doc_id) LEFT JOIN ls USING (doc_id)
+"""
+
+
+BLANKS = "[ \\t\\n\\x0B\\f\\r]+"
+
+
+def _crc(column: str) -> Column:
+    return F.crc32(F.col(column).cast("string"))
+
+
+def planted_runs(documents: DataFrame) -> DataFrame:
+    """(doc_id, text): in each tenth document, by the checksum of its id, the words from one place on repeat with a period."""
+    h = _crc("doc_id")
+    g = F.floor(h / 10)
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), BLANKS), lambda w: w != "")
+    cut = documents.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    n = F.size("words").cast("long")
+    at = cut.withColumn("n", F.when(n > 0, n)).withColumn("a", F.col("g") % F.col("n")).withColumn(
+        "p", 1 + F.call_function("div", F.col("n") - F.col("a"), 3 + F.col("g") % 8))
+    a, p, rest = (F.col(c).cast("int") for c in ("a", "p", "rest"))
+    times = F.call_function("div", rest + p - 1, p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", a + 1, p), times)), F.lit(1), rest)
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), a), tail), " ")
+    return at.withColumn("rest", F.col("n") - F.col("a")).select(
+        "doc_id", F.when(F.col("n").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(planted_runs(_table(spark, sf_dir, "documents")))
+    none = F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>")
+    # Runs come by start, then period, so of equal exponents the first stays.
+    best = F.aggregate("runs", none, lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    told = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), _hex(F.array_join(told, "")).alias("runs_sha256"),
+        _hex("collapsed").alias("collapsed_sha256"),
+    ).select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+             F.call_function("div", F.col("best.length") * 1000, F.col("best.period")).alias("exponent_milli"),
+             "runs_sha256", "collapsed_sha256")
+
+
+#: DuckDB has no CRC-32; the table of its 256 steps comes from the polynomial.
+CRC_TABLE = """(SELECT list(c ORDER BY i) FROM (SELECT i, list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda c, k:
+    CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c FROM range(256) r(i)))"""
+CRC = """xor(list_reduce(list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda d: CAST(ord(d) AS BIGINT)), lambda c, d:
+    xor(steps[(xor(c, d) & 255) + 1], c >> 8), CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+OP12 = rf"""
+WITH crc AS (SELECT {CRC_TABLE} AS steps),
+d AS (SELECT doc_id, {CRC.format('doc_id')} AS h,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents, crc),
+s AS (SELECT *, len(words) AS n, h // 10 AS g, CASE WHEN len(words) > 0 THEN (h // 10) % len(words) ELSE 0 END AS a FROM d),
+q AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM s),
+w0 AS (SELECT doc_id, h, n, a, p, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS i FROM q),
+w AS (SELECT x.doc_id, x.n, x.i, CASE WHEN x.h % 10 = 0 AND x.i >= x.a THEN y.word ELSE x.word END AS word
+      FROM w0 x JOIN w0 y ON x.doc_id = y.doc_id
+        AND y.i = CASE WHEN x.h % 10 = 0 AND x.i >= x.a THEN x.a + (x.i - x.a) % x.p ELSE x.i END),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM w x JOIN w y ON x.doc_id = y.doc_id AND x.word = y.word
+            AND y.i > x.i AND (y.i - x.i) * 4 <= x.n),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island
+              HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length),
+r AS (SELECT doc_id, count(*) AS n_runs,
+             sha256(string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period)) AS runs_sha256 FROM runs GROUP BY doc_id),
+best AS (SELECT DISTINCT ON (doc_id) doc_id, start, length, period FROM runs a
+         WHERE NOT EXISTS (SELECT 1 FROM runs b WHERE a.doc_id = b.doc_id AND b.length * a.period > a.length * b.period)
+         ORDER BY doc_id, start, period),
+kept AS (SELECT doc_id, sha256(string_agg(word, ' ' ORDER BY i)) AS collapsed_sha256 FROM w
+         WHERE NOT EXISTS (SELECT 1 FROM runs WHERE runs.doc_id = w.doc_id AND i >= start + period AND i < start + length)
+         GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
+       CAST(period AS BIGINT) AS period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       coalesce(runs_sha256, sha256('')) AS runs_sha256, coalesce(collapsed_sha256, sha256('')) AS collapsed_sha256
+FROM d LEFT JOIN r USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+HEAD_BLOCK, HEAD_SIZES = 20, 4
+
+
+def rebuilt_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(conv_id, depth, turn_key, words) and (conv_id): conversations whose first turns are those of the first one of their block.
+
+    Conversation c takes the first h = crc32(c) % 4 turns of conversation c - c % 20, then its own turns after its first h.
+    """
+    sizes = turns.groupBy("conv_id").agg(F.count("*").alias("n"))
+    own = sizes.select("conv_id", (F.col("conv_id") - F.col("conv_id") % HEAD_BLOCK).alias("base"), (_crc("conv_id") % HEAD_SIZES).alias("h"))
+    of_base = sizes.select(F.col("conv_id").alias("_base"), F.col("n").alias("_n"))
+    convs = materialize(own.join(of_base, F.col("base") == F.col("_base"), "left").select(
+        "conv_id", "base", "h", F.least("h", F.coalesce("_n", F.lit(0))).alias("taken")), "conversations")
+    rest = turns.join(convs, "conv_id").where(F.col("place") > F.col("h")).select(
+        "conv_id", (F.col("place") - F.col("h") + F.col("taken")).alias("depth"), "turn_key", "words")
+    firsts = turns.where((F.col("conv_id") % HEAD_BLOCK == 0) & (F.col("place") < HEAD_SIZES)).withColumnRenamed("conv_id", "base")
+    heads = firsts.join(convs, "base").where(F.col("place") <= F.col("h")).select(
+        "conv_id", F.col("place").alias("depth"), "turn_key", "words")
+    return rest.unionByName(heads), convs.select("conv_id")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trie = prefix_trie.prefix_trie(*rebuilt_turns(prefix_trie.numbered_turns(_table(spark, sf_dir, "conversations"))))
+    digests = prefix_trie.joined_digests(trie.ends, "node", "conv_id").select(F.col("node").alias("_node"), "sha256")
+    return trie.nodes.join(digests, F.col("node") == F.col("_node"), "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
+
+
+OP13 = rf"""
+WITH crc AS (SELECT {CRC_TABLE} AS steps),
+t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+      FROM conversations WHERE conv_id IS NOT NULL),
+sizes AS (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id),
+c AS (SELECT s.conv_id, s.conv_id - s.conv_id % 20 AS base, {CRC.format('s.conv_id')} % 4 AS h, coalesce(b.n, 0) AS base_n
+      FROM crc, sizes s LEFT JOIN sizes b ON b.conv_id = s.conv_id - s.conv_id % 20),
+turns AS (SELECT c.conv_id, t.place - h + least(h, base_n) AS depth, role, text FROM t JOIN c USING (conv_id) WHERE t.place > h
+          UNION ALL SELECT c.conv_id, t.place, role, text FROM c JOIN t ON t.conv_id = c.base AND t.place <= h),
+steps AS (SELECT conv_id, depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+                 list({{'role': role, 'text': text}}) OVER (PARTITION BY conv_id ORDER BY depth) AS prefix FROM turns),
+rows_ AS (SELECT conv_id, depth, words, prefix FROM steps
+          UNION ALL SELECT conv_id, 0, 0, CAST([] AS STRUCT(role VARCHAR, text VARCHAR)[]) FROM c),
+nodes AS (SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words FROM rows_ GROUP BY depth, prefix),
+named AS (SELECT r.conv_id AS member, r.depth, n.conv_id, n.n_convs, n.words FROM rows_ r JOIN nodes n ON r.depth = n.depth AND r.prefix = n.prefix),
+tree AS (SELECT n.conv_id, n.depth, n.n_convs, n.words, p.conv_id AS parent_conv_id
+         FROM nodes n LEFT JOIN named p ON p.member = n.conv_id AND p.depth = n.depth - 1),
+kids AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM tree WHERE depth > 0 GROUP BY ALL),
+full_ AS (SELECT tree.*, coalesce(n_children, 0) AS n_children FROM tree LEFT JOIN kids USING (conv_id, depth)),
+below AS (SELECT up.conv_id, up.depth, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.words) AS saved_tokens
+          FROM full_ f JOIN named up ON up.member = f.conv_id AND up.depth <= f.depth GROUP BY ALL),
+ends AS (SELECT n.conv_id, n.depth, sha256(string_agg(CAST(member AS VARCHAR), ',' ORDER BY member)) AS ends_sha256
+         FROM named n JOIN (SELECT conv_id AS member, max(depth) AS depth FROM rows_ GROUP BY conv_id) USING (member, depth) GROUP BY ALL)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(depth AS BIGINT) AS depth, CAST(parent_conv_id AS BIGINT) AS parent_conv_id,
+       CAST(n_convs AS BIGINT) AS n_convs, CAST(n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM full_ LEFT JOIN below USING (conv_id, depth) LEFT JOIN ends USING (conv_id, depth)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_warc": op2_warc,
@@ -152,6 +345,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_forest": op9_forest,
     "op10_bpe": op10_bpe,
+    "op11_licenses": op11_licenses,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
-SQL: dict[str, str] = {"op2_warc": OP2, "op6_line_dedup": OP6, "op7_chat": OP7}
+SQL: dict[str, str] = {"op2_warc": OP2, "op6_line_dedup": OP6, "op7_chat": OP7, "op11_licenses": _op11_sql(),
+                       "op12_periodic_runs": OP12, "op13_prefix_trie": OP13}
