@@ -74,6 +74,12 @@ def event_fields(event: Column) -> list[Column]:
     return [own.get(f.name, lambda c: c)(event[f.name]).alias(f.name) for f in S.EVENT_JSON.fields]
 
 
+def once(value: Column) -> Column:
+    """A generator of the one row that it stands in. What it holds is worked out once, whatever uses it: neither a filter
+    nor a later step moves the expression to where it would run again."""
+    return F.explode(F.array(value))
+
+
 def missing_keys(event_type: Column, value: Column) -> Column:
     """Required keys absent from the JSON object, in their fixed order. A present null is not missing;
     NULL when the text is no JSON object or the type is unknown."""

@@ -1,6 +1,6 @@
 """Item catalog: cleaning, upsert, lookups."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions import parsing as P
@@ -58,12 +58,15 @@ def unloadable(clean: DataFrame) -> DataFrame:
 
 
 def latest_rows(rows: DataFrame, order: str) -> DataFrame:
-    """The last row of every id by `order`; repeats fold map-side before the shuffle."""
-    rest = [c for c in rows.columns if c not in (ID, order)]
-    return (
-        rows.groupBy(ID).agg(F.max_by(F.struct(*rest), order).alias("r"))
-        .select(ID, *[F.col("r").getField(c).alias(c) for c in rest])
-    )
+    """The last row of every id by `order`. Ids that come once, which a hash count tells, are passed on unsorted; of the
+    others each task keeps its last row before the shuffle."""
+    rest = [c for c in rows.columns if c != order]
+    counts = rows.groupBy(F.col(ID).alias("_id")).agg(F.count("*").alias("_n"))
+    again = counts.where(F.col("_n") > 1).select("_id")
+    same = F.col(ID).eqNullSafe(F.col("_id"))
+    latest = Window.partitionBy(ID).orderBy(F.desc(order))
+    repeated = rows.join(again, same, "left_semi").withColumn("_place", F.row_number().over(latest)).where(F.col("_place") == 1)
+    return rows.join(again, same, "left_anti").select(*rest).unionByName(repeated.select(*rest))
 
 
 def upsert_catalog(old: DataFrame, new: DataFrame, order: str) -> DataFrame:

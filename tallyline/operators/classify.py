@@ -32,24 +32,19 @@ WRAPPER = {
 
 # ----------------------------------------------------------------------------------------
 
-PAYLOAD = [f for f in S.SUCCESS.fieldNames() if f != "event_id"]
-
-
 def decode_rows(deliveries: DataFrame) -> DataFrame:
-    """Each delivery with the fields of its event beside it.
+    """Each delivery with the fields of its event beside it. `readable` tells whether the text is one JSON object.
 
-    `inline` parses the text once: a filter on a field is not pushed below it, where it would parse
-    the text again for every field it mentions. `readable` tells whether the text is one JSON object.
+    Parsing, the test of the whole text, and the fields are three steps that each run once a row, see `E.once`.
     """
-    rows = deliveries.select(
+    place = ["event_data", "topic", "partition", "offset", "timestamp", "ord"]
+    parsed = deliveries.select(
         F.col("value").alias("event_data"), "topic", "partition", "offset", "timestamp",
-        E.arrival_order(F.col("partition"), F.col("offset")).alias("ord"),
-        F.inline(F.array(F.struct(E.parsed_event(F.col("value")).alias("_parsed")))),
-    ).withColumn("readable", E.readable(F.col("_parsed"), F.col("event_data")))
-    return rows.select(
-        "event_data", "topic", "partition", "offset", "timestamp", "ord", "readable",
-        *E.event_fields(F.when(F.col("readable"), F.col("_parsed")[0])),
-    ).withColumn("number", _number(F.col("rating")))
+        E.arrival_order(F.col("partition"), F.col("offset")).alias("ord"), E.once(E.parsed_event(F.col("value"))).alias("_parsed"))
+    tested = parsed.select(*place, E.once(F.when(E.readable(F.col("_parsed"), F.col("event_data")), F.col("_parsed")[0])).alias("_event"))
+    fields = E.event_fields(F.col("_event"))
+    return tested.select(*place, F.col("_event").isNotNull().alias("readable"), E.once(F.struct(
+        *fields, _number(F.col("_event")["rating"]).alias("number"))).alias("_fields")).select(*place, "readable", "_fields.*")
 
 
 def _number(text: Column) -> Column:
@@ -113,9 +108,8 @@ def classify_rows(deliveries: DataFrame, now: Column | None = None) -> DataFrame
     Needs value, topic, partition, offset, timestamp. Row-local: no shuffle, streams as it is.
     """
     moment = F.lit(None) if now is None else now
-    # `explode` of one value: the verdict, too, is worked out once and not once per use.
     return decode_rows(deliveries).select(
-        "*", moment.cast("timestamp_ntz").alias("processed_at"), F.explode(F.array(verdict())).alias("verdict"))
+        "*", moment.cast("timestamp_ntz").alias("processed_at"), E.once(verdict()).alias("verdict"))
 
 
 def with_messages(rows: DataFrame) -> DataFrame:
@@ -139,7 +133,7 @@ def with_messages(rows: DataFrame) -> DataFrame:
 
 def succeeding(rows: DataFrame) -> DataFrame:
     """The rows that pass every check, as typed events; a missing aggregate id is derived."""
-    return rows.where(passes()).select(
+    return rows.where(F.col("verdict") == "ok").select(
         "event_id", "event_type", E.ledger_aggregate_id().alias("aggregate_id"), "anime_id", "user_id",
         F.when(_is(S.VIEW), F.col("duration_seconds")).alias("duration_seconds"),
         F.when(_is(S.RATING), clean_rating(F.col("number"))).alias("rating"),
@@ -176,19 +170,22 @@ def checked_rejects(checked: DataFrame) -> DataFrame:
     return checked.where(F.col("verdict").isin("invalid", "error")).select(*S.REJECT.fieldNames())
 
 
-def first_delivery() -> Column:
-    """Aggregate over event_id: the delivery that arrived first. Copies fold before the shuffle."""
-    return F.min_by(F.struct(*PAYLOAD), "ord")
-
-
 def first_successes(rows: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """One row per event id: the first delivery that passes, unless the ledger has its success."""
     return first_of_each(succeeding(rows), ledger)
 
 
 def first_of_each(passing: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """The ledger is first cut down to the ids at hand: a broadcast probe for a small batch."""
-    first = passing.groupBy("event_id").agg(first_delivery().alias("p")).select("event_id", "p.*")
+    """Of the deliveries of one topic the first one of each event id, unless the ledger has its success.
+
+    The place of the first is found by a hash aggregate over id and place, folded map-side. Only ids that came more than once are
+    looked up again, in a plain left join: a small lookup is broadcast, else large partitions of a hot id are split. So no
+    payload is sorted, and those of unique ids are not moved for it. The ledger is first cut down to the ids at hand.
+    """
+    per_id = passing.groupBy(F.col("event_id").alias("_id")).agg(F.min("ord").alias("_first"), F.count("*").alias("_n"))
+    lookup = per_id.where(F.col("_n") > 1).select("_id", "_first")
+    first = passing.join(lookup, F.col("event_id") == F.col("_id"), "left").where(
+        F.col("_first").isNull() | (F.col("ord") == F.col("_first"))).select(*passing.columns)
     if ledger is not None:
         known = processed_ids(ledger).join(passing.select("event_id").distinct(), "event_id", "left_semi")
         first = first.join(known, "event_id", "left_anti")
@@ -242,8 +239,13 @@ ATTEMPT = ["event_id", "event_type", "ledger_aggregate_id", "ord", "ok", "ledger
 
 def attempts(rows: DataFrame) -> DataFrame:
     """The deliveries that reached the range checks and name their event, passed or not."""
-    reached = rows.where(F.col("verdict").isin("ok", "error") & F.col("event_id").isNotNull())
-    return with_messages(reached.withColumn("ok", passes())).select(*ATTEMPT)
+    return checked_attempts(with_messages(rows))
+
+
+def checked_attempts(checked: DataFrame) -> DataFrame:
+    """The same from a stored `checked` table."""
+    reached = checked.where(F.col("verdict").isin("ok", "error") & F.col("event_id").isNotNull())
+    return reached.withColumn("ok", F.col("verdict") == "ok").select(*ATTEMPT)
 
 
 def stored_attempts(successes: DataFrame, rejects: DataFrame) -> DataFrame:

@@ -74,6 +74,45 @@ def dlq_mark_resolved(dlq: DataFrame, ids: DataFrame, now: datetime, notes: str
     )
 
 
+# ---- marks kept apart from the letters --------------------------------------------------
+
+
+def retry_marks(ids: DataFrame, now: datetime) -> DataFrame:
+    return _marks(ids, "retry", now, None)
+
+
+def resolve_marks(ids: DataFrame, now: datetime, notes: str | None = None) -> DataFrame:
+    return _marks(ids, "resolve", now, notes)
+
+
+def _marks(ids: DataFrame, mark: str, now: datetime, notes: str | None) -> DataFrame:
+    return ids.select("dlq_id", F.lit(mark).alias("mark"), _stamp(now).alias("marked_at"),
+                      F.lit(notes).cast("string").alias("notes")).distinct()
+
+
+def apply_marks(dlq: DataFrame, marks: DataFrame) -> DataFrame:
+    """The letters as their marks leave them, in the order of time: what `dlq_mark_retry` and `dlq_mark_resolved` would have made
+    of the table one after another. A retry counts for a failed letter only, so at most the first one does, and none from the
+    first resolution on; the last resolution gives the time, the last notes given stay. Marks may be repeated and may come before
+    their letter. A retry at the very time of a resolution comes after it.
+    """
+    retry, resolve = F.col("mark") == "retry", F.col("mark") == "resolve"
+    at = F.col("marked_at")
+    told = marks.groupBy(F.col("dlq_id").alias("_of")).agg(
+        F.min(F.when(retry, at)).alias("_retry"), F.min(F.when(resolve, at)).alias("_first"),
+        F.max(F.when(resolve, at)).alias("_last"),
+        F.max(F.when(resolve & F.col("notes").isNotNull(), F.struct("marked_at", "notes")))["notes"].alias("_notes"))
+    retried = (F.col("status") == "failed") & F.col("_retry").isNotNull() & F.coalesce(F.col("_retry") < F.col("_first"), F.lit(True))
+    new = {
+        "retry_count": F.col("retry_count") + F.coalesce(retried, F.lit(False)).cast("int"),
+        "last_retry_at": F.when(retried, F.col("_retry")).otherwise(F.col("last_retry_at")),
+        "status": F.when(F.col("_last").isNotNull(), "resolved").when(retried, "retrying").otherwise(F.col("status")),
+        "resolved_at": F.coalesce("_last", "resolved_at"), "notes": F.coalesce("_notes", "notes"),
+    }
+    joined = dlq.join(told, F.col("dlq_id") == F.col("_of"), "left")
+    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in dlq.columns])
+
+
 def changed_count(marked: DataFrame) -> DataFrame:
     """How many rows a marking changed."""
     return marked.agg(F.count(F.when(F.col("changed"), F.lit(1))).alias("changed"))

@@ -6,12 +6,14 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline import schemas as S
 from tallyline.operators import activity as A
 from tallyline.operators import classify as C
 from tallyline.operators import dead_letters as D
 from tallyline.operators import ledger as G
+from tallyline.session import materialize
 from tallyline.sources import event_log as L
-from tallyline.sources.tables import read_table, write_table
+from tallyline.sources.tables import conform, read_table, write_table
 
 
 FINISHED = "finished"
@@ -29,11 +31,17 @@ def project(deliveries: DataFrame, now: datetime | None = None, activity: DataFr
     """The read model after `deliveries`, on top of an earlier `activity` and `ledger` if given.
 
     `now` is the one time of processing written to all tables. `dead_letters` holds the new ones only; the writer
-    adds them to the earlier table.
-    Every table is lazy and can be used by itself.
+    adds them to the earlier table. The checked deliveries are stored at once; every table is lazy and starts from them.
     """
-    rows = C.classify_rows(deliveries, F.lit(now))
-    return assemble(C.first_successes(rows, ledger), C.rejected(rows), C.attempts(rows), activity, ledger)
+    stored = check_deliveries(deliveries, now)
+    successes = C.first_of_each(C.checked_successes(stored), ledger)
+    return assemble(successes, C.checked_rejects(stored), C.checked_attempts(stored), activity, ledger)
+
+
+def check_deliveries(deliveries: DataFrame, now: datetime | None = None) -> DataFrame:
+    """Deliveries after the row checks, parsed once and stored by verdict: what every later step starts from."""
+    checked = conform(C.checked(C.classify_rows(deliveries, F.lit(now))), S.CHECKED)
+    return materialize(checked, "checked", partition="verdict")
 
 
 def assemble(successes: DataFrame, rejects: DataFrame, attempts: DataFrame,

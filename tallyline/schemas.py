@@ -100,6 +100,15 @@ CHECKED = table_schema(
     " processed_at TIMESTAMP_NTZ, verdict STRING"
 )
 
+# What a stream remembers of an event id that took effect: two hashes and the place of the success.
+SUCCEEDED_ID = table_schema("h1 BIGINT, h2 BIGINT, ord BIGINT")
+KNOWN_ID = table_schema("event_id STRING")
+
+COUNTER = table_schema("event_type STRING, outcome STRING, deliveries BIGINT")
+
+# What was done to a dead letter: 'retry' or 'resolve'.
+MARK = table_schema("dlq_id STRING, mark STRING, marked_at TIMESTAMP_NTZ, notes STRING")
+
 DEAD_LETTER = table_schema(
     "dlq_id STRING, event_id STRING, event_type STRING, aggregate_id STRING, event_data STRING,"
     " error_type STRING, error_message STRING, kafka_topic STRING, kafka_partition INT,"

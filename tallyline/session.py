@@ -43,10 +43,10 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tallyline/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once to the shared folder and read it back: cuts lineage, survives executor loss."""
+def materialize(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
+    """Write `df` once to the shared folder, by `partition` if given, and read it back: cuts lineage, survives executor loss."""
     path = run_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition) if partition else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,6 +1,6 @@
 """The append-once event log: parquet by event date, sorted by aggregate inside the files."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline import schemas as S
@@ -29,17 +29,29 @@ def log_rows(events: DataFrame, created_at=None) -> DataFrame:
     )
 
 
+def first_copies(batch: DataFrame) -> DataFrame:
+    """The row of each event id that occurred first; among rows of one time the smallest by the other columns.
+
+    The time is found by a hash aggregate. Payloads are moved only for ids that came more than once: of these the rows of the first
+    time are folded, copies map-side, and one is taken.
+    """
+    per_id = batch.groupBy(F.col("event_id").alias("_id")).agg(F.min("occurred_at").alias("_first"), F.count("*").alias("_n"))
+    again = per_id.where(F.col("_n") > 1).select("_id", "_first")
+    own = F.col("event_id") == F.col("_id")
+    versions = batch.join(again, own & F.col("occurred_at").eqNullSafe(F.col("_first")), "left_semi").distinct()
+    rest = [c for c in batch.columns if c not in ("event_id", "occurred_at")]
+    place = F.row_number().over(Window.partitionBy("event_id").orderBy(*rest))
+    chosen = versions.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
+    return batch.join(again, own, "left_anti").unionByName(chosen)
+
+
 def new_events(log: DataFrame | None, batch: DataFrame) -> DataFrame:
     """The rows of `batch` the log does not have yet, the first one of each event id.
 
-    Copies fold map-side. The log is first cut down to the ids of the batch: for a small batch that is
-    a broadcast probe of the id column, and the log is not shuffled.
+    The log is first cut down to the ids of the batch: for a small batch that is a broadcast probe of the id column, and the log
+    is not shuffled.
     """
-    rest = [c for c in batch.columns if c not in ("event_id", "occurred_at")]
-    first = (
-        batch.groupBy("event_id").agg(F.min(F.struct("occurred_at", *rest)).alias("r"))
-        .select(*[F.col("event_id") if c == "event_id" else F.col("r").getField(c).alias(c) for c in batch.columns])
-    )
+    first = first_copies(batch)
     if log is None:
         return first
     known = log.select("event_id").join(batch.select("event_id").distinct(), "event_id", "left_semi")

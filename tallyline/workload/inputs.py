@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spread over all cores: the file has one row group, which one task would read and map."""
+    return table(spark, sf_dir, "events").repartition(spark.sparkContext.defaultParallelism)
+
+
 def _facts(events: DataFrame) -> DataFrame:
     cents = F.round(F.col("value") * 100).cast("long")
     kind = F.col("event_type")
@@ -74,11 +79,11 @@ def as_deliveries(events: DataFrame) -> DataFrame:
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_deliveries(table(spark, sf_dir, "events"))
+    return as_deliveries(events(spark, sf_dir))
 
 
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = _facts(table(spark, sf_dir, "events"))
+    facts = _facts(events(spark, sf_dir))
     kind, bucket = F.col("src_type"), F.col("bucket")
     return facts.select(
         F.concat(F.lit("cmd-"), F.col("src_id").cast("string")).alias("command_id"),

@@ -194,6 +194,11 @@ _RETRIED = """SELECT kafka_offset, event_type, aggregate_id,
     CASE WHEN event_type = 'ViewRegistered' THEN TIMESTAMP '2024-02-01' END AS last_retry_at,
     event_type = 'ViewRegistered' AS changed FROM dead"""
 
+SUMMARY = sql("resolved", """
+    SELECT CASE WHEN cut_off THEN 'unknown' ELSE kind END AS event_type, outcome, count(*) AS deliveries,
+           CASE WHEN outcome IN ('error', 'invalid') THEN 'error' ELSE 'processed' END AS counter
+    FROM resolved GROUP BY ALL""")
+
 ORACLE: dict[str, str] = {
     "clicks_by_item_user": sql("clicks", "SELECT * FROM clicks"),
     "views_by_item_user": sql("views", "SELECT * FROM views"),
@@ -220,10 +225,8 @@ ORACLE: dict[str, str] = {
         WHERE cut_off OR id NOT IN (SELECT id FROM judged WHERE verdict = 'ok' AND ts < TIMESTAMP '2024-01-16')"""),
     "ledger": sql("entries", "SELECT * FROM entries"),
     "incremental_ledger": sql("entries", "SELECT * FROM entries"),
-    "processing_summary": sql("resolved", """
-        SELECT CASE WHEN cut_off THEN 'unknown' ELSE kind END AS event_type, outcome, count(*) AS deliveries,
-               CASE WHEN outcome IN ('error', 'invalid') THEN 'error' ELSE 'processed' END AS counter
-        FROM resolved GROUP BY ALL"""),
+    "processing_summary": SUMMARY,
+    "stream_counters": SUMMARY,
     "top_by_views": sql("top_views", f"SELECT {STATS} FROM top_views"),
     "top_by_rating": sql("top_rating", f"SELECT {STATS} FROM top_rating"),
     "shape_stats": sql("shaped", "SELECT * FROM shaped"),
@@ -267,6 +270,11 @@ ORACLE: dict[str, str] = {
                last_retry_at, CASE WHEN aggregate_id IS NOT NULL THEN TIMESTAMP '2024-02-01' END AS resolved_at,
                CASE WHEN aggregate_id IS NOT NULL THEN 'revisado' END AS notes, aggregate_id IS NOT NULL AS changed
         FROM ({_RETRIED})"""),
+    "stream_letters_marked": sql("dead", f"""
+        SELECT kafka_offset, CASE WHEN aggregate_id IS NOT NULL THEN 'resolved' ELSE status END AS status, retry_count,
+               last_retry_at, CASE WHEN aggregate_id IS NOT NULL THEN TIMESTAMP '2024-02-02' END AS resolved_at,
+               CASE WHEN aggregate_id IS NOT NULL THEN 'revisado' END AS notes
+        FROM ({_RETRIED})"""),
     "validate_commands": sql("ruled", """
         SELECT command_id, reject_field, CASE WHEN reject_field IS NOT NULL THEN 'validation' END AS reject_reason FROM ruled"""),
     "check_item_exists": sql("screened", "SELECT command_id, anime_id, item_exists FROM screened"),

@@ -16,8 +16,8 @@ from tallyline.operators import reports as R
 from tallyline.operators.versions import assign_versions
 from tallyline.plans import catalog as catalog_plan
 from tallyline.plans.ingest import ingest_commands
-from tallyline.plans.project import project, read_read_model, rebuild_read_model, write_read_model
-from tallyline.session import run_dir
+from tallyline.plans.project import check_deliveries, project, read_read_model, rebuild_read_model, write_read_model
+from tallyline.session import materialize, run_dir
 from tallyline.sources import event_log as L
 from tallyline.sources import topic
 from tallyline.sources.catalog_csv import write_catalog_csv
@@ -27,6 +27,7 @@ from tallyline.workload import inputs as I
 # An earlier run covers the events before this moment.
 CUT = datetime(2024, 1, 16)
 NOW = datetime(2024, 2, 1)
+LATER = datetime(2024, 2, 2)
 DIGIT = "7"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,12 +45,12 @@ def registered(name: str) -> Callable[[Query], Query]:
 # ---- shared steps ----------------------------------------------------------------------
 
 
-def _rows(spark, sf_dir):
-    return K.classify_rows(I.deliveries(spark, sf_dir))
+def _checked(spark, sf_dir):
+    return check_deliveries(I.deliveries(spark, sf_dir))
 
 
 def _successes(spark, sf_dir):
-    return K.first_successes(_rows(spark, sf_dir))
+    return K.first_of_each(K.checked_successes(_checked(spark, sf_dir)))
 
 
 def _stats(spark, sf_dir):
@@ -126,20 +127,20 @@ def incremental_item_stats(spark, sf_dir):
 
 @registered("classify_events")
 def classify_events(spark, sf_dir):
-    return K.classify_events(I.deliveries(spark, sf_dir)).select(
+    return K.resolve_duplicates(_checked(spark, sf_dir)).select(
         "topic", "partition", "offset", "event_id", "event_type", "outcome")
 
 
 @registered("missing_fields")
 def missing_fields(spark, sf_dir):
-    return K.rejected(_rows(spark, sf_dir)).where(F.col("verdict") == "invalid").select(
+    return K.checked_rejects(_checked(spark, sf_dir)).where(F.col("verdict") == "invalid").select(
         "offset", "event_type", "error_type", "error_message")
 
 
 @registered("drop_processed")
 def drop_processed(spark, sf_dir):
-    rows = _rows(spark, sf_dir)
-    earlier = project(_before(I.deliveries(spark, sf_dir))).ledger
+    rows = _checked(spark, sf_dir)
+    earlier = G.ledger_entries(K.checked_attempts(_before(rows)))
     return K.drop_processed(rows, earlier).select("offset", "event_id", "verdict")
 
 
@@ -157,7 +158,7 @@ def incremental_ledger(spark, sf_dir):
 
 @registered("processing_summary")
 def processing_summary(spark, sf_dir):
-    return G.processing_summary(K.classify_events(I.deliveries(spark, sf_dir)))
+    return G.processing_summary(K.resolve_duplicates(_checked(spark, sf_dir)))
 
 
 @registered("rebuild_read_model")
@@ -172,9 +173,9 @@ def rebuild_unversioned(spark, sf_dir):
     return rebuild_read_model(log).item_stats.select(*R.STATS)
 
 
-def _streamed(spark, sf_dir):
-    """The deliveries are published in three parts. After each the two streaming queries start again and run until the
-    topic is used up; the second time the model is compacted. Then the stored model is read."""
+def _streamed(spark, sf_dir, compact=True):
+    """The deliveries are published in three parts. After each the query starts again and runs until the topic is used up;
+    the second time the model is compacted. The folder of the stored model."""
     root = run_dir(spark, "stream")
     every = I.deliveries(spark, sf_dir)
     last = every.agg(F.max("offset")).first()[0] or 0
@@ -183,26 +184,42 @@ def _streamed(spark, sf_dir):
     for number, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)):
         topic.publish_files(every.where(F.col("offset").between(low + 1, high)), f"{root}/topic")
         stream = topic.read_files(spark, f"{root}/topic")
-        for query in P.run_projection_stream(stream, f"{root}/model", f"{root}/state", availableNow=True):
-            query.awaitTermination()
-        if number == 1:
+        P.run_projection_stream(stream, f"{root}/model", f"{root}/state", availableNow=True).awaitTermination()
+        if compact and number == 1:
             P.compact(spark, f"{root}/model")
-    return P.read_stream_model(spark, f"{root}/model")
+    return f"{root}/model"
 
 
 @registered("stream_projection")
 def stream_projection(spark, sf_dir):
-    return _streamed(spark, sf_dir).item_stats.select(*R.STATS)
+    return P.read_stream_model(spark, _streamed(spark, sf_dir)).item_stats.select(*R.STATS)
 
 
 @registered("stream_ledger")
 def stream_ledger(spark, sf_dir):
-    return _streamed(spark, sf_dir).ledger.drop("processed_at")
+    return P.read_stream_model(spark, _streamed(spark, sf_dir)).ledger.drop("processed_at")
 
 
 @registered("stream_dead_letters")
 def stream_dead_letters(spark, sf_dir):
-    return _streamed(spark, sf_dir).dead_letters.drop("failed_at")
+    return P.read_stream_model(spark, _streamed(spark, sf_dir)).dead_letters.drop("failed_at")
+
+
+@registered("stream_counters")
+def stream_counters(spark, sf_dir):
+    return P.read_counters(spark, _streamed(spark, sf_dir))
+
+
+@registered("stream_letters_marked")
+def stream_letters_marked(spark, sf_dir):
+    """Views are marked for a retry, then everything that names an aggregate is resolved; the model is compacted afterwards."""
+    root = _streamed(spark, sf_dir, compact=False)
+    letters = P.read_stream_model(spark, root).dead_letters
+    P.mark_letters(spark, root, D.retry_marks(letters.where(F.col("event_type") == "ViewRegistered"), NOW))
+    P.mark_letters(spark, root, D.resolve_marks(letters.where(F.col("aggregate_id").isNotNull()), LATER, "revisado"))
+    P.compact(spark, root)
+    return P.read_stream_model(spark, root).dead_letters.select(
+        "kafka_offset", "status", "retry_count", "last_retry_at", "resolved_at", "notes")
 
 
 # ---- reports ---------------------------------------------------------------------------
@@ -338,7 +355,7 @@ def screen_commands(spark, sf_dir):
 
 def _events(spark, sf_dir):
     screened = M.screen_commands(I.commands(spark, sf_dir), I.catalog(spark, sf_dir))
-    return M.commands_to_events(M.accepted(screened))
+    return materialize(M.commands_to_events(M.accepted(screened)), "events")
 
 
 @registered("commands_to_events")
