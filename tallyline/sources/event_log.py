@@ -1,23 +1,60 @@
-"""The append-once event log: parquet by event date, sorted by aggregate inside the files."""
+"""The append-once event log: parquet by event date, sorted by aggregate inside the files, an index of its ids in buckets, and
+numbered commits that name the folders of both.
+
+Layout under the path: data/run=…/event_date=…, ids/run=…/bucket=…, commits/N.
+"""
+
+import json
+import uuid
+from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline import schemas as S
 from tallyline.functions import events as E
 from tallyline.operators.versions import number_rows
+from tallyline.sources import files
 
 REPLAY_TOPIC = "event_log"
+ID_BUCKETS = 64
+ATTEMPTS = 20
+INDEX = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("bucket", T.IntegerType())])
+
+
+class LogVersion(NamedTuple):
+    """The folders that make up the log, and those of its id index, as of commit `number`."""
+
+    number: int
+    data: list[str]
+    ids: list[str]
+
+
+def current_version(spark: SparkSession, path: str) -> LogVersion:
+    number = files.last_number(spark, f"{path}/commits")
+    return LogVersion(number, **json.loads(files.read_number(spark, f"{path}/commits", number)))
+
 
+def read_log(spark: SparkSession, path: str, version: LogVersion | None = None) -> DataFrame:
+    """The log as of its last commit, or of an earlier one."""
+    version = version or current_version(spark, path)
+    return _runs(spark, f"{path}/data", version.data, S.EVENT_LOG)
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.EVENT_LOG).parquet(path)
+
+def _runs(spark: SparkSession, root: str, names: list[str], schema: T.StructType) -> DataFrame:
+    """The rows that some runs have written under `root`."""
+    with_run = T.StructType([*schema.fields, T.StructField("run", T.StringType())])
+    return spark.read.schema(with_run).option("basePath", root).parquet(*[f"{root}/run={n}" for n in names]).drop("run")
 
 
 def create_log(spark: SparkSession, path: str) -> None:
     """An empty log; nothing happens to one that is there."""
-    none = spark.createDataFrame([], S.EVENT_LOG).withColumn("event_date", F.lit("1970-01-01").cast("date"))
-    none.write.mode("ignore").partitionBy("event_date").parquet(path)
+    if files.last_number(spark, f"{path}/commits") < 0:
+        none = spark.createDataFrame([], S.EVENT_LOG).withColumn("event_date", F.lit("1970-01-01").cast("date"))
+        none.drop("event_date").write.mode("ignore").parquet(f"{path}/data/run=empty/event_date=1970-01-01")
+        files.put_number(spark, f"{path}/commits", 0, json.dumps({"data": ["empty"], "ids": []}))
 
 
 def log_rows(events: DataFrame, created_at=None) -> DataFrame:
@@ -46,7 +83,7 @@ def first_copies(batch: DataFrame) -> DataFrame:
 
 
 def new_events(log: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """The rows of `batch` the log does not have yet, the first one of each event id.
+    """The rows of `batch` the log (or any table of its ids) does not have yet, the first one of each event id.
 
     The log is first cut down to the ids of the batch: for a small batch that is a broadcast probe of the id column, and the log
     is not shuffled.
@@ -58,20 +95,76 @@ def new_events(log: DataFrame | None, batch: DataFrame) -> DataFrame:
     return first.join(known, "event_id", "left_anti")
 
 
-def append_log(rows: DataFrame, path: str) -> None:
-    """Append prepared rows in one job: all of them appear or none. An empty input writes nothing new.
+def _bucketed(ids: DataFrame) -> DataFrame:
+    return ids.select("event_id", F.pmod(F.xxhash64("event_id"), F.lit(ID_BUCKETS)).cast("int").alias("bucket"))
+
+
+def known_ids(spark: SparkSession, path: str, version: LogVersion, batch: DataFrame) -> DataFrame:
+    """(event_id): the ids of `batch` that the log has, from the buckets of the index that they fall into. The numbers of these
+    buckets, at most ID_BUCKETS, come to the driver."""
+    ids = _bucketed(batch.where(F.col("event_id").isNotNull())).distinct()
+    if not version.ids:
+        return ids.select("event_id").where(F.lit(False))
+    at_hand = [r.bucket for r in ids.select("bucket").distinct().collect()]
+    index = _runs(spark, f"{path}/ids", version.ids, INDEX)
+    return ids.join(index.where(F.col("bucket").isin(at_hand)), ["bucket", "event_id"], "left_semi").select("event_id")
+
 
-    Range partitioning over the whole key spreads a hot day or aggregate over many files and leaves
-    the rows sorted for replay by aggregate."""
+def _write_rows(rows: DataFrame, folder: str) -> None:
+    """Range partitioning over the whole key spreads a hot day or aggregate over many files and leaves the rows sorted for replay
+    by aggregate."""
     key = ["event_date", "aggregate_id", "version", "event_id"]
     (rows.select(*S.EVENT_LOG.fieldNames()).repartitionByRange(*key).sortWithinPartitions(*key)
-     .write.mode("append").partitionBy("event_date").parquet(path))
+     .write.partitionBy("event_date").parquet(folder))
 
 
-def append_events(spark: SparkSession, path: str, events: DataFrame, created_at=None) -> None:
-    """Append the events the log does not have yet."""
+def _write_ids(ids: DataFrame, folder: str) -> None:
+    (ids.repartition("bucket").sortWithinPartitions("bucket", "event_id").write.partitionBy("bucket").parquet(folder))
+
+
+def commit_rows(spark: SparkSession, path: str, make: Callable[[LogVersion], DataFrame]) -> DataFrame:
+    """Append the rows that `make` gives for a version of the log (its new ids, its next versions); all of them appear or none.
+
+    Rows and their ids are written aside and named by the next commit, a file that is created only if its number is free. If another
+    ingest was first, what was written goes, and `make` runs again on the new version: so no event id is there twice and
+    versions go on from all that is in the log. Without rows nothing is committed. The rows that were appended.
+    """
     create_log(spark, path)
-    append_log(log_rows(new_events(read_log(spark, path), events), created_at), path)
+    for _ in range(ATTEMPTS):
+        version, name = current_version(spark, path), uuid.uuid4().hex
+        data, ids = f"{path}/data/run={name}", f"{path}/ids/run={name}"
+        _write_rows(make(version), data)
+        written = spark.read.schema(S.EVENT_LOG).parquet(data)
+        if not files.names(spark, data):
+            files.remove(spark, data)
+            return spark.createDataFrame([], S.EVENT_LOG)
+        _write_ids(_bucketed(written), ids)
+        text = json.dumps({"data": [*version.data, name], "ids": [*version.ids, name]})
+        if files.put_number(spark, f"{path}/commits", version.number + 1, text):
+            return written
+        files.remove(spark, data)
+        files.remove(spark, ids)
+    raise RuntimeError(f"{ATTEMPTS} other ingests committed first")
+
+
+def append_events(spark: SparkSession, path: str, events: DataFrame, created_at=None) -> DataFrame:
+    """Append the events the log does not have yet; their rows."""
+    return commit_rows(spark, path, lambda version: log_rows(
+        new_events(known_ids(spark, path, version, events), events), created_at))
+
+
+def compact_index(spark: SparkSession, path: str) -> None:
+    """One folder of the id index in the place of many. An ingest that commits meanwhile makes this one begin again."""
+    for _ in range(ATTEMPTS):
+        version, name = current_version(spark, path), uuid.uuid4().hex
+        if len(version.ids) < 2:
+            return
+        _write_ids(_runs(spark, f"{path}/ids", version.ids, INDEX), f"{path}/ids/run={name}")
+        text = json.dumps({"data": version.data, "ids": [name]})
+        if files.put_number(spark, f"{path}/commits", version.number + 1, text):
+            return
+        files.remove(spark, f"{path}/ids/run={name}")
+    raise RuntimeError(f"{ATTEMPTS} other ingests committed first")
 
 
 def events_for_aggregate(log: DataFrame, aggregate_id: str, from_version: int = 0) -> DataFrame:

@@ -341,3 +341,8 @@ for _name, _columns in _NULLABLE.items():
 
 # Versions follow (occurred_at, event_id), and so does a replay without them.
 ORACLE["rebuild_unversioned"] = ORACLE["rebuild_read_model"]
+# Stored and merged step by step, the tables are the same.
+ORACLE |= {name: ORACLE[same] for name, same in {
+    "bucketed_item_stats": "item_stats", "bucketed_ledger": "ledger", "bucketed_dead_letters": "dead_letters",
+    "ingest_to_log": "ingest_commands", "bucketed_catalog": "upsert_catalog",
+}.items()}

@@ -15,7 +15,8 @@ from tallyline.operators import ledger as G
 from tallyline.operators import reports as R
 from tallyline.operators.versions import assign_versions
 from tallyline.plans import catalog as catalog_plan
-from tallyline.plans.ingest import ingest_commands
+from tallyline.plans.ingest import ingest_commands, ingest_to_log
+from tallyline.plans.model import read_catalog, read_model, update_catalog, update_model
 from tallyline.plans.project import check_deliveries, project, read_read_model, rebuild_read_model, write_read_model
 from tallyline.session import materialize, run_dir
 from tallyline.sources import event_log as L
@@ -156,6 +157,30 @@ def incremental_ledger(spark, sf_dir):
     return project(every, ledger=_stored(_before(every)).ledger).ledger.drop("processed_at")
 
 
+def _bucketed_model(spark, sf_dir):
+    """An earlier run, then the rest, then all deliveries once more: three commits of a model in buckets."""
+    root = run_dir(spark, "model")
+    every = I.deliveries(spark, sf_dir)
+    for part in (_before(every), _after(every), every):
+        update_model(part, root, buckets=16)
+    return read_model(spark, root)
+
+
+@registered("bucketed_item_stats")
+def bucketed_item_stats(spark, sf_dir):
+    return _bucketed_model(spark, sf_dir).item_stats.select(*R.STATS)
+
+
+@registered("bucketed_ledger")
+def bucketed_ledger(spark, sf_dir):
+    return _bucketed_model(spark, sf_dir).ledger.drop("processed_at")
+
+
+@registered("bucketed_dead_letters")
+def bucketed_dead_letters(spark, sf_dir):
+    return _bucketed_model(spark, sf_dir).dead_letters
+
+
 @registered("processing_summary")
 def processing_summary(spark, sf_dir):
     return G.processing_summary(K.resolve_duplicates(_checked(spark, sf_dir)))
@@ -386,6 +411,18 @@ def event_log(spark, sf_dir):
         "event_id", "event_type", "aggregate_id", "event_data", "occurred_at", "version", "metadata")
 
 
+@registered("ingest_to_log")
+def stored_log(spark, sf_dir):
+    """The first part, the rest, and all commands again go into one stored log, whose id index is compacted between."""
+    path = run_dir(spark, "log")
+    commands, catalog = I.commands(spark, sf_dir), I.catalog(spark, sf_dir)
+    for part in (_before(commands, "issued_at"), _after(commands, "issued_at"), commands):
+        ingest_to_log(spark, part, catalog, path)
+        L.compact_index(spark, path)
+    return L.read_log(spark, path).select(
+        "event_id", "event_type", "aggregate_id", "event_data", "occurred_at", "version", "metadata")
+
+
 @registered("events_for_aggregate")
 def events_for_aggregate(spark, sf_dir):
     """For every aggregate, the later half of its events."""
@@ -420,8 +457,19 @@ def load_catalog(spark, sf_dir):
     return _doubles(loaded.select(*CLEAN), "episodes", "ranked", "members")
 
 
+UPSERTED = ["myanimelist_id", "title", "description", "type", "status", "episodes", "score", "popularity", "members"]
+
+
 @registered("upsert_catalog")
 def upsert_catalog(spark, sf_dir):
-    merged = C.upsert_catalog(I.catalog(spark, sf_dir), I.catalog_updates(spark, sf_dir), "load_seq").select(
-        "myanimelist_id", "title", "description", "type", "status", "episodes", "score", "popularity", "members")
+    merged = C.upsert_catalog(I.catalog(spark, sf_dir), I.catalog_updates(spark, sf_dir), "load_seq").select(*UPSERTED)
     return _doubles(merged, "episodes", "popularity", "members")
+
+
+@registered("bucketed_catalog")
+def bucketed_catalog(spark, sf_dir):
+    """The catalog is stored in buckets, then updated there."""
+    root = run_dir(spark, "catalog")
+    update_catalog(I.catalog(spark, sf_dir).withColumn("load_seq", F.lit(0)), root, "load_seq", buckets=16)
+    update_catalog(I.catalog_updates(spark, sf_dir), root, "load_seq")
+    return _doubles(read_catalog(spark, root).select(*UPSERTED), "episodes", "popularity", "members")
