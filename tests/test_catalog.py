@@ -1,3 +1,7 @@
+import csv
+import io
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +10,7 @@ from tallyline import schemas as S
 from tallyline.functions import parsing as P
 from tallyline.operators import catalog as C
 from tallyline.plans.catalog import load_catalog
-from tallyline.sources.catalog_csv import read_catalog_csv
+from tallyline.sources.catalog_csv import _lines, read_catalog_csv
 
 HEADER = "myanimelist_id,title,description,Type,Episodes,Released_Year,Score,Members,characters"
 
@@ -90,3 +94,25 @@ def test_files_are_read_by_their_own_header(spark, tmp_path):
 
 def test_json_must_be_one_value(spark):
     assert cleaned(spark, P.clean_json, "[1] x", '{"a":1,"a":2}', '{"a":1} {"b":2}', "[1]") == [None, '{"a":2}', None, "[1]"]
+
+
+def test_one_large_file_is_read_by_many_tasks(spark, tmp_path):
+    """Quoted line breaks, doubled quotes and CRLF everywhere, cut into byte ranges at every place; more than 100 columns."""
+    rng = random.Random(6)
+    extra = [f"x{i}" for i in range(150)]
+    rows = [[str(i), "".join(rng.choices(["a", "\n", '"', ",", "é", " ", "\r\n", "b c"], k=rng.randrange(12))) + "z", *map(str, range(150))]
+            for i in range(400)]
+    out = io.StringIO(newline="")
+    csv.writer(out, lineterminator="\r\n").writerows([["myanimelist_id", "title", *extra], *rows])
+    folder = write(tmp_path, "large", "")
+    (tmp_path / "large" / "part.csv").write_bytes(out.getvalue().encode())
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4001")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        assert _lines(spark, folder).rdd.getNumPartitions() > 20
+        got = read_catalog_csv(spark, folder).orderBy("load_seq").collect()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert [[r.myanimelist_id, r.title, r.x0, r.x149] for r in got] == [[r[0], r[1], "0", "149"] for r in rows]
