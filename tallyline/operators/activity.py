@@ -96,20 +96,40 @@ def ratings_table(activity: DataFrame) -> DataFrame:
     return activity.where(F.col("rating").isNotNull()).select(*KEYS, "rating", "rated_at")
 
 
+TOTALS = ["total_clicks", "total_views", "total_ratings", "rating_cents", "total_duration_seconds"]
+
+
+def item_totals(activity: DataFrame) -> DataFrame:
+    """The sums over all users of each touched item. Ratings are the current ones, in cents."""
+    return activity.groupBy("anime_id").agg(
+        F.sum("click_count").alias("total_clicks"), F.sum("view_count").alias("total_views"),
+        F.count("rating").alias("total_ratings"), F.coalesce(F.sum((F.col("rating") * 100).cast("long")), F.lit(0)).alias("rating_cents"),
+        F.sum("total_duration_seconds").alias("total_duration_seconds"), F.max("updated_at").alias("updated_at"))
+
+
+def merge_totals(*parts: DataFrame) -> DataFrame:
+    """Totals, and changes of totals, added up."""
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole.groupBy("anime_id").agg(*[F.sum(c).alias(c) for c in TOTALS], F.max("updated_at").alias("updated_at"))
+
+
+def totals_change(old: DataFrame, new: DataFrame) -> DataFrame:
+    """What totals change by when the activity rows `new` take the place of `old`."""
+    gone = item_totals(old).select("anime_id", *[(-F.col(c)).alias(c) for c in TOTALS], "updated_at")
+    return merge_totals(gone, item_totals(new))
+
+
 def item_stats(activity: DataFrame) -> DataFrame:
-    """One row per touched item. The average is exact, half up, in whole cents; 0 without ratings."""
-    cents = (F.col("rating") * 100).cast("long")
-    n, total = F.col("total_ratings"), F.col("_cents")
+    """One row per touched item."""
+    return stats_of(item_totals(activity))
+
+
+def stats_of(totals: DataFrame) -> DataFrame:
+    """The average is exact, half up, in whole cents; 0 without ratings."""
+    n, total = F.col("total_ratings"), F.col("rating_cents")
     half_up = F.call_function("div", total * 2 + n, n * 2) / F.lit(100.0)
-    return (
-        activity.groupBy("anime_id")
-        .agg(F.sum("click_count").alias("total_clicks"),
-             F.sum("view_count").alias("total_views"),
-             F.count("rating").alias("total_ratings"),
-             F.sum(cents).alias("_cents"),
-             F.sum("total_duration_seconds").alias("total_duration_seconds"),
-             F.max("updated_at").alias("updated_at"))
-        .select("anime_id", "total_clicks", "total_views", "total_ratings",
-                F.when(n > 0, half_up).otherwise(F.lit(0.0)).alias("average_rating"),
-                "total_duration_seconds", "updated_at")
-    )
+    return totals.select("anime_id", "total_clicks", "total_views", "total_ratings",
+                         F.when(n > 0, half_up).otherwise(F.lit(0.0)).alias("average_rating"),
+                         "total_duration_seconds", "updated_at")

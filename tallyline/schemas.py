@@ -78,6 +78,12 @@ ITEM_STATS = table_schema(
     " average_rating DOUBLE, total_duration_seconds BIGINT, updated_at TIMESTAMP_NTZ"
 )
 
+# What item statistics are made of; all sums, so changes can be added up.
+ITEM_TOTALS = table_schema(
+    "anime_id INT, total_clicks BIGINT, total_views BIGINT, total_ratings BIGINT, rating_cents BIGINT,"
+    " total_duration_seconds BIGINT, updated_at TIMESTAMP_NTZ"
+)
+
 LEDGER = table_schema(
     "event_id STRING, event_type STRING, aggregate_id STRING, status STRING, error_message STRING,"
     " processed_at TIMESTAMP_NTZ"

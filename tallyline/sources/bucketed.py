@@ -25,10 +25,11 @@ class Table(NamedTuple):
 
 
 class Manifest(NamedTuple):
-    """Of every table the folders of each bucket, as of commit `number`; -1 before the first one."""
+    """Of every table the folders of each bucket, as of commit `number`; -1 before the first one. `notes` are those of its run."""
 
     number: int
     tables: dict[str, dict[str, list[str]]]
+    notes: dict
 
 
 class Changes:
@@ -38,6 +39,7 @@ class Changes:
         self.replaced: dict[str, dict[str, list[str]]] = {}
         self.added: dict[str, dict[str, list[str]]] = {}
         self.folders: list[str] = []
+        self.notes: dict = {}
 
 
 class BucketedTables:
@@ -54,8 +56,9 @@ class BucketedTables:
     def manifest(self) -> Manifest:
         number = files.last_number(self.spark, f"{self.root}/commits")
         if number < 0:
-            return Manifest(number, {})
-        return Manifest(number, json.loads(self._commit_text(number))["tables"])
+            return Manifest(number, {}, {})
+        told = json.loads(self._commit_text(number))
+        return Manifest(number, told["tables"], told["notes"])
 
     def bucket(self, name: str) -> Column:
         return F.pmod(F.xxhash64(*self.tables[name].key), F.lit(self.buckets)).cast("int")
@@ -83,6 +86,10 @@ class BucketedTables:
         for part in files.names(self.spark, f"{self.root}/{folder}"):
             kind.setdefault(name, {}).setdefault(part.rpartition("=")[2], []).append(f"{folder}/{part}")
 
+    def written(self, changes: Changes, name: str) -> DataFrame:
+        """The rows that took the place of others in this run."""
+        return self.read(Manifest(0, changes.replaced, {}), name)
+
     def _commit(self, manifest: Manifest, changes: Changes) -> bool:
         tables = {name: dict(own) for name, own in manifest.tables.items()}
         for name, own in changes.replaced.items():
@@ -91,7 +98,7 @@ class BucketedTables:
             for bucket, folders in own.items():
                 mine = tables.setdefault(name, {})
                 mine[bucket] = [*mine.get(bucket, ()), *folders]
-        text = json.dumps({"buckets": self.buckets, "tables": tables})
+        text = json.dumps({"buckets": self.buckets, "tables": tables, "notes": {**manifest.notes, **changes.notes}})
         return files.put_number(self.spark, f"{self.root}/commits", manifest.number + 1, text)
 
     def run(self, step: Callable[[Manifest, Changes], None]) -> Manifest:

@@ -21,6 +21,7 @@ from tallyline.sources import files
 REPLAY_TOPIC = "event_log"
 ID_BUCKETS = 64
 ATTEMPTS = 20
+NO_VERSION = -1
 INDEX = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("bucket", T.IntegerType())])
 
 
@@ -37,6 +38,14 @@ def current_version(spark: SparkSession, path: str) -> LogVersion:
     return LogVersion(number, **json.loads(files.read_number(spark, f"{path}/commits", number)))
 
 
+def runs_after(spark: SparkSession, path: str, version: LogVersion, number: int) -> LogVersion:
+    """What `version` has besides the rows of an earlier commit; all of it for NO_VERSION."""
+    if number <= NO_VERSION:
+        return version
+    earlier = set(json.loads(files.read_number(spark, f"{path}/commits", number))["data"])
+    return version._replace(data=[d for d in version.data if d not in earlier])
+
+
 def read_log(spark: SparkSession, path: str, version: LogVersion | None = None) -> DataFrame:
     """The log as of its last commit, or of an earlier one."""
     version = version or current_version(spark, path)
@@ -199,3 +208,12 @@ def as_deliveries(log: DataFrame) -> DataFrame:
         F.pmod(F.xxhash64("aggregate_id"), F.lit(1 << E.PARTITION_BITS)).cast("int").alias("partition"),
         F.col("place").alias("offset"), F.col("occurred_at").alias("timestamp"),
     )
+
+
+def versioned_deliveries(log: DataFrame) -> DataFrame:
+    """The same for a log whose versions were assigned: the version is the place, so any part of the log can be replayed after
+    the parts before it, and nothing is shuffled."""
+    return log.select(
+        F.col("aggregate_id").alias("key"), F.col("event_data").alias("value"), F.lit(REPLAY_TOPIC).alias("topic"),
+        F.pmod(F.xxhash64("aggregate_id"), F.lit(1 << E.PARTITION_BITS)).cast("int").alias("partition"),
+        F.col("version").cast("long").alias("offset"), F.col("occurred_at").alias("timestamp"))

@@ -16,7 +16,7 @@ from tallyline.operators import reports as R
 from tallyline.operators.versions import assign_versions
 from tallyline.plans import catalog as catalog_plan
 from tallyline.plans.ingest import ingest_commands, ingest_to_log
-from tallyline.plans.model import read_catalog, read_model, update_catalog, update_model
+from tallyline.plans.model import catch_up, read_catalog, read_model, update_catalog, update_model
 from tallyline.plans.project import check_deliveries, project, read_read_model, rebuild_read_model, write_read_model
 from tallyline.session import materialize, run_dir
 from tallyline.sources import event_log as L
@@ -423,6 +423,17 @@ def stored_log(spark, sf_dir):
         "event_id", "event_type", "aggregate_id", "event_data", "occurred_at", "version", "metadata")
 
 
+@registered("catch_up_model")
+def catch_up_model(spark, sf_dir):
+    """The log grows in two parts; after each the stored model is brought up to it."""
+    log, model = run_dir(spark, "log"), run_dir(spark, "model")
+    commands, catalog = I.commands(spark, sf_dir), I.catalog(spark, sf_dir)
+    for part in (_before(commands, "issued_at"), _after(commands, "issued_at")):
+        ingest_to_log(spark, part, catalog, log)
+        catch_up(spark, log, model, buckets=16)
+    return read_model(spark, model).item_stats.select(*R.STATS)
+
+
 @registered("events_for_aggregate")
 def events_for_aggregate(spark, sf_dir):
     """For every aggregate, the later half of its events."""
