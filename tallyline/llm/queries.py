@@ -28,7 +28,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "archive")
     warc.write_archive(_table(spark, sf_dir, "pages"), path)
-    return warc.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    records = warc.parse_records(warc.read_archive(spark, path))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 OP2 = """

@@ -61,5 +61,30 @@ def test_damage_is_found(spark):
         warc.read_archive(spark, other).collect()
 
 
+ODD = ["http://a/\u2028X-Page-Id: 777", "http://a/\u2029x\u0085y", "", None, "http://a/%0D%25 b", "\r\nX-Page-Id: 5\r\n\r\nWARC/1.1", "http://é/\x00\x1f\x7f%E2%80%A8",
+       "\nWARC-Payload-Digest: sha256:" + "0" * 64, "http://plain/%41"]
+
+
+def test_no_address_forges_a_field(spark):
+    path = archive(spark, [(i, url, f"page {i}" if i % 2 else LONG) for i, url in enumerate(ODD)])
+    for got in (warc.read_archive(spark, path), warc.parse_records(warc.read_archive(spark, path))):
+        assert rows(got, "page_id", "url") == sorted(enumerate(ODD), key=repr)
+        assert rows(got.where("record_type = 'revisit'"), "page_id", "refers_to") == [(i, 0) for i in (2, 4, 6, 8)]
+    heads = [bytes(r.record).partition(b"\r\n\r\n")[0].decode() for r in warc.read_archive(spark, path).collect()]
+    assert all(len(h.split("\r\n")) == len(h.splitlines()) for h in heads)
+    assert any("WARC-Target-URI: http://plain/%41\r\n" in h for h in heads)
+
+
+def test_fields_come_from_the_bytes(spark):
+    records = warc.read_archive(spark, archive(spark, PAGES))
+    parsed = warc.parse_records(records.withColumns({c: F.lit(None) for c in ("page_id", "url", "record_type", "refers_to")}))
+    columns = ["page_id", "record_type", "refers_to", "payload_digest", "payload_bytes"]
+    assert rows(parsed, *columns) == rows(records, *columns)
+    assert rows(parsed.where("record_type = 'revisit'").select("body_bytes").distinct(), "body_bytes") == [(0,)]
+    spoiled = records.withColumn("record", F.expr("concat(substring(record, 1, octet_length(record) - 5), X'21', X'0D0A0D0A')"))
+    with pytest.raises(Exception, match="does not have the body"):
+        warc.parse_records(spoiled).select("payload_digest").collect()
+
+
 def test_no_pages(spark):
     assert warc.read_archive(spark, archive(spark, [])).count() == 0
