@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +42,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run under the shared folder."""
-    return f"{shared_dir(spark)}/tallyline/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tallyline/{name}-{uuid.uuid4().hex}"
+    for made in _recorders:
+        made.append(path)
+    return path
+
+
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recorded_dirs() -> Iterator[list[str]]:
+    """The folders that `run_dir` names meanwhile: whoever knows that no result reads them any more can remove them."""
+    made: list[str] = []
+    _recorders.append(made)
+    try:
+        yield made
+    finally:
+        _recorders.remove(made)
 
 
 def materialize(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
