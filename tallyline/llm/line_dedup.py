@@ -136,8 +136,9 @@ def drop_repeated_lines(documents: DataFrame, min_chars: int = 20, min_docs: int
     frequent = materialize(runs.frequent(min_docs), "line-frequent")
     runs.close()
     held = materialize(lines.drop("batch").join(frequent, HASH), "line-held")
-    repeated = (held.groupBy(*HASH, "doc").count().groupBy(*HASH).agg(F.count("*").alias("n_docs"), F.max("doc").alias("last_doc"))
-                .where(F.col("n_docs") >= min_docs).select(*HASH, "last_doc"))
+    by_line = held.groupBy(*HASH, "doc").count().groupBy(*HASH).agg(F.count("*").alias("n_docs"), F.max("doc").alias("last_doc"))
+    # Stored, so that the join with it can be split where one line fills a partition.
+    repeated = materialize(by_line.where(F.col("n_docs") >= min_docs).select(*HASH, "last_doc"), "line-repeated")
     lost = (held.join(repeated, HASH).where(F.col("doc") < F.col("last_doc"))
             .groupBy(F.col("doc").alias("_lost_doc"), F.col("version").alias("_lost_version"))
             .agg(F.collect_set("place").alias("_lost")))
