@@ -43,7 +43,7 @@ def trie(spark, conversations):
     return rows(whole, *COLUMNS, "sha")
 
 
-@pytest.mark.parametrize("few", [3, 1 << 14])
+@pytest.mark.parametrize("few", [60, 1 << 14])
 def test_trie(spark, monkeypatch, few):
     monkeypatch.setattr(T, "FEW_ARCS", few)
     monkeypatch.setattr(T.list_ranks, "__defaults__", (few,))
