@@ -1,12 +1,15 @@
 """Helpers that work on whole Arrow string columns: byte views, slices of bounded size, word and shingle hashes."""
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 15
+#: Bytes of a word up to which words are hashed together.
+SHORT = 64
+ALL_BITS = np.uint64(0xFFFFFFFFFFFFFFFF)
 SPACE = np.array([9, 10, 11, 12, 13, 32])
 #: ASCII other than letters and digits.
 NOT_LETTERS = np.array([b for b in range(128) if not (48 <= b < 58 or 65 <= b < 91 or 97 <= b < 123)])
@@ -43,28 +46,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _codes(seed: int) -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
-
-
 class WordHasher:
     """64-bit hashes of the words of many texts at once.
 
-    A word is a maximal run of bytes that `separators` does not hold; A-Z count as a-z. The hash is a polynomial in
-    a fixed odd base over random byte codes, taken from running sums, so no Python runs per word.
+    A word is a maximal run of bytes that `separators` does not hold; A-Z count as a-z. A short word is mixed in blocks of
+    eight bytes, every block through `mix`, all words of a batch together; a longer one by BLAKE2.
     """
 
     def __init__(self, separators: np.ndarray = SPACE):
-        codes = _codes(7)
-        codes[65:91] = codes[97:123]
         self.is_word = np.ones(256, bool)
         self.is_word[separators] = False
-        self.codes = np.where(self.is_word, codes, np.uint64(0))
-        base, self.inverse = np.uint64(0x9E3779B97F4A7C15), None
-        with np.errstate(over="ignore"):
-            back = np.uint64(pow(int(base), -1, 1 << 64))
-            self.power = np.cumprod(np.full(CHUNK + 1, base, np.uint64))
-            self.inverse = np.cumprod(np.full(CHUNK + 1, back, np.uint64))
+        self.fold = np.arange(256, dtype=np.uint8)
+        self.fold[65:91] += 32
 
     def bounds(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and one-past-last byte of every word; a row's end ends its word."""
@@ -77,36 +70,25 @@ class WordHasher:
         return np.flatnonzero(begin), np.flatnonzero(end) + 1
 
     def hashes(self, data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        out = np.empty(len(first), np.uint64)
-        i = 0
+        folded = np.concatenate([self.fold[data], np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(data) + 1, np.dtype("<u8"), folded, strides=(1,))
+        length = (last - first).astype(np.int64)
+        out = np.full(len(first), 0x9E3779B97F4A7C15, np.uint64)
+        left = np.flatnonzero(length <= SHORT)
         with np.errstate(over="ignore"):
-            while i < len(first):
-                low = first[i]
-                j = int(np.searchsorted(last, low + CHUNK, side="right"))
-                if j <= i:
-                    out[i] = self._long(data[low:last[i]])
-                    i += 1
-                    continue
-                high = last[j - 1]
-                terms = self.codes[data[low:high]]
-                terms *= self.power[:high - low]
-                total = np.empty(high - low + 1, np.uint64)
-                total[0] = 0
-                np.cumsum(terms, out=total[1:])
-                a, b = first[i:j] - low, last[i:j] - low
-                out[i:j] = mix((total[b] - total[a]) * self.inverse[a] + (b - a).astype(np.uint64))
-                i = j
+            for k in range(0, SHORT, 8):
+                left = left[length[left] > k]
+                if not len(left):
+                    break
+                spare = 8 - np.minimum(length[left] - k, 8)
+                block = eight[first[left] + k] & (ALL_BITS >> (8 * spare).astype(np.uint64))
+                out[left] = mix(out[left] * np.uint64(0xD6E8FEB86659FD93) + block)
+            out = mix(out + length.astype(np.uint64))
+        for i in np.flatnonzero(length > SHORT):
+            digest = hashlib.blake2b(folded[first[i]:last[i]].tobytes(), digest_size=8).digest()
+            out[i] = int.from_bytes(digest, "little")
         return out
 
-    def _long(self, word: np.ndarray) -> np.uint64:
-        """The same hash for a word longer than a chunk."""
-        total, shift = np.uint64(0), np.uint64(1)
-        for k in range(0, len(word), CHUNK):
-            part = self.codes[word[k:k + CHUNK]]
-            total += shift * np.sum(part * self.power[:len(part)], dtype=np.uint64)
-            shift *= self.power[CHUNK - 1]
-        return mix(np.array([total * self.inverse[0] + np.uint64(len(word))], np.uint64))[0]
-
     def words(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash of every word, its first byte, and the index of each row's first word (rows + 1 values)."""
         first, last = self.bounds(offsets, data)
