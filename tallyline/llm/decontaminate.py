@@ -31,6 +31,10 @@ COSINE, PLAIN_COSINE = 0.3, 0.5
 BLOCK_ITEMS, BLOCK_BYTES = 2048, 4 << 20
 #: Words of a run that documents are looked up by; an item of fewer words is one run. Bits of the table that is asked first.
 RUN, RUN_BITS = 3, 20
+#: Distances between the words of a looked-up run in a document: next to each other, or a foreign word after each.
+GAPS = (1, 2)
+#: Times an item's length within which its words must stand.
+STRETCH = 2
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,12 +180,12 @@ class Items:
     runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
-    """A hash for each run of `length` words."""
-    n = max(len(words) - length + 1, 0)
+def run_hashes(words: np.ndarray, length: int, gap: int = 1) -> np.ndarray:
+    """A hash for each run of `length` words that stand `gap` places apart."""
+    n = max(len(words) - gap * (length - 1), 0)
     out = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(length):
+        for k in range(0, gap * length, gap):
             out = (out + words[k:k + n] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
             out ^= out >> np.uint64(29)
     return out
@@ -285,23 +289,26 @@ def _alike(words: np.ndarray, rows: np.ndarray, block: Items, strong: float, wea
     for length, (hashes, item, place) in block.runs.items():
         table = np.zeros(1 << RUN_BITS, bool)
         table[hashes >> np.uint64(64 - RUN_BITS)] = True
-        here = run_hashes(words, length)
-        at = np.flatnonzero(table[here >> np.uint64(64 - RUN_BITS)])
-        low, high = (np.searchsorted(hashes, here[at], side) for side in ("left", "right"))
-        at, low, n = at[high > low], low[high > low], (high - low)[high > low]
-        entry = np.repeat(low - np.concatenate([[0], np.cumsum(n)])[:-1], n) + np.arange(n.sum())
-        at = np.repeat(at, n)
-        row = np.searchsorted(rows, at, "right") - 1
-        inside = at + length <= rows[row + 1]
-        places.append(np.stack([row, item[entry], at - place[entry]], axis=1)[inside])
+        for gap in GAPS if length == RUN else (1,):
+            here = run_hashes(words, length, gap)
+            at = np.flatnonzero(table[here >> np.uint64(64 - RUN_BITS)])
+            low, high = (np.searchsorted(hashes, here[at], side) for side in ("left", "right"))
+            at, low, n = at[high > low], low[high > low], (high - low)[high > low]
+            entry = np.repeat(low - np.concatenate([[0], np.cumsum(n)])[:-1], n) + np.arange(n.sum())
+            at = np.repeat(at, n)
+            row = np.searchsorted(rows, at, "right") - 1
+            inside = at + gap * (length - 1) < rows[row + 1]
+            start = at - gap * place[entry]
+            places.append(np.stack([row, item[entry], start, np.full(len(at), gap)], axis=1)[inside])
     # Runs of one copy begin their item at nearly one place; they are judged once.
-    found = np.concatenate([np.zeros((0, 3), np.int64), *places])
+    found = np.concatenate([np.zeros((0, 4), np.int64), *places])
     step = np.maximum(np.array([len(w) for w in block.words], np.int64) // 8, 1)[found[:, 1]]
     found[:, 2] = found[:, 2] // step * step
-    for row, item, start in np.unique(found, axis=0).tolist():
+    for row, item, start, gap in np.unique(found, axis=0).tolist():
         wanted = block.words[item]
         slack = max(len(wanted) // 4, 2)
-        a, b = max(int(rows[row]), start - slack), min(int(rows[row + 1]), start + len(wanted) + len(wanted) // 8 + slack)
+        stop = start + gap * len(wanted) + len(wanted) // 8 + slack
+        a, b = max(int(rows[row]), start - slack), min(int(rows[row + 1]), stop)
         region = words[a:b]
         if np.isin(region, wanted).sum() >= weak * len(wanted) and judge(wanted, block.answers[item], region, strong, weak)[2]:
             yield row, item, max(start, int(rows[row]))
@@ -328,20 +335,53 @@ def _matches(words: np.ndarray, rows: np.ndarray, block: Items, latent: np.ndarr
         by_item.setdefault((row, item), []).append((at, near))
     for (row, item), found in by_item.items():
         wanted, begin, end = block.words[item], int(rows[row]), int(rows[row + 1])
-        # Windows whose surroundings meet are judged together.
+        # Windows whose surroundings meet are looked through together.
         group: list[tuple[int, float]] = []
         for at in [*sorted(found), None]:
             if group and (at is None or at[0] - group[-1][0] > WINDOW + 2 * len(wanted)):
                 a = max(begin, group[0][0] - len(wanted))
                 b = min(end, group[-1][0] + WINDOW + len(wanted))
-                share, answered, bad = judge(wanted, block.answers[item], words[a:b], strong, weak)
-                if bad:
-                    yield row, item, a - begin, b - begin, max(c for _, c in group), share, answered
+                near = max(c for _, c in group)
+                for first, last, share, answered in spans(wanted, block.answers[item], words[a:b], strong, weak):
+                    yield row, item, a - begin + first, a - begin + last, near, share, answered
                 group = []
             if at is not None:
                 group.append(at)
 
 
+def spans(item: np.ndarray, answer_: np.ndarray, region: np.ndarray, strong: float,
+          weak: float) -> Iterator[tuple[int, int, float, bool]]:
+    """(first, last, share, answer) of the places of a region that hold the item.
+
+    The words of an item must stand within STRETCH times its length, so that a long text which only uses the same words
+    over and over holds none of it. Places a part of the item apart are judged; of overlapping ones the best counts.
+    """
+    width = max(STRETCH * len(item), len(item) + 2)
+    if len(region) <= width:
+        share, answered, bad = judge(item, answer_, region, strong, weak)
+        if bad:
+            yield 0, len(region), share, answered
+        return
+    # The whole region bounds every place of it from above.
+    if common_subsequence(item, region) < weak * len(item):
+        return
+    step = max(len(item) // 8, 1)
+    starts = np.unique(np.append(np.arange(0, len(region) - width, step), len(region) - width))
+    known = np.concatenate([[0], np.cumsum(np.isin(region, item))])
+    best: tuple[int, int, float, bool] | None = None
+    for start in starts[known[starts + width] - known[starts] >= weak * len(item)].tolist():
+        share, answered, bad = judge(item, answer_, region[start:start + width], strong, weak)
+        if not bad:
+            continue
+        if best and start >= best[1]:
+            yield best
+            best = None
+        if best is None or share > best[2]:
+            best = start, start + width, share, answered
+    if best:
+        yield best
+
+
 def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple]]:
     """The items in blocks of bounded number and size; they pass through the driver block by block."""
     rows, size = [], 0
@@ -358,10 +398,11 @@ def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple]]
 def contaminated_passages(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                           item: str = "item_id", cosine: float = COSINE, strong: float = 0.8,
                           weak: float = 0.6) -> DataFrame:
-    """A row for each region of a document that holds a benchmark item: `key`, item_id, first_word, last_word (exclusive),
+    """A row for each place of a document that holds a benchmark item: `key`, item_id, first_word, last_word (exclusive),
     cosine (the nearest window's), share (of the item's words found in order) and answer (whether its answer was found).
 
-    Words are runs of letters, digits and non-ASCII characters in lower case. A region counts with a share of at least
+    Words are runs of letters, digits and non-ASCII characters in lower case. A place is at most STRETCH times as long as
+    the item, or the text around a single copy, and counts with a share of at least
     `strong`, or of at least `weak` if the item's answer (what follows its last question mark, else its last sentence) is there
     without gaps; items under 8 words count only without gaps. Null or empty texts and items match nothing. Repeated
     rows, null keys and null item ids are carried through row by row. Other columns are left out. Statistics and search

@@ -88,3 +88,55 @@ def test_odd_rows(spark):
     assert rows(got, "doc_id", "item_id") == sorted(same, key=repr)
     assert D.contaminated_passages(empty(spark), items).count() == 0
     assert D.contaminated_passages(frame(spark), items.where("false")).count() == 0
+
+
+def test_words_of_an_item_in_another_order(spark):
+    """Long texts that use an item's words over and over, backwards or shuffled, hold no item."""
+    random_ = random.Random(3)
+    said = [f"word{i}" for i in range(30)]
+    shuffled = [w for _ in range(40) for w in random_.sample(said, 30)]
+    docs = [(1, " ".join(said[::-1] * 40)), (2, " ".join(shuffled)), (3, " ".join([*shuffled, *said, *shuffled]))]
+    got = D.contaminated_passages(spark.createDataFrame(docs, "doc_id long, text string"),
+                                  spark.createDataFrame([(7, " ".join(said))], "item_id long, text string")).collect()
+    assert {r.doc_id for r in got} == {3}
+    assert any(r.first_word <= 1200 and r.last_word >= 1230 and r.share == 1 for r in got)
+    assert all(r.last_word - r.first_word <= D.STRETCH * 30 for r in got)
+
+
+def test_spans_equal_all_windows():
+    """A region has a span exactly where one of its windows passes."""
+    random_ = np.random.default_rng(5)
+    for _ in range(200):
+        item = random_.integers(0, 40, random_.integers(8, 30)).astype(np.uint32)
+        region = random_.integers(0, 40, 300).astype(np.uint32)
+        if random_.random() < 0.5:
+            at = random_.integers(0, 250)
+            region[at:at + len(item)] = item
+        found = list(D.spans(item, item[:0], region, 0.8, 0.6))
+        width = D.STRETCH * len(item)
+        every = [D.common_subsequence(item, region[s:s + width]) / len(item) for s in range(len(region) - width + 1)]
+        assert all(every[a] == share >= 0.8 and b - a == width for a, b, share, _ in found)
+        whole = [s for s in range(len(region) - len(item)) if np.array_equal(region[s:s + len(item)], item)]
+        assert all(any(a <= s and s + len(item) <= b for a, b, _, _ in found) for s in whole) or not whole
+
+
+def test_recall_of_changed_items(spark):
+    """Items of the table among its documents: as they are, a fifth replaced, a word after every word."""
+    random_ = random.Random(9)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()
+             if r.text and len(r.text.split()) >= 12][:60]
+    hosts = [r.text.split() for r in documents(spark).where("length(text) > 200").limit(60).collect()]
+    docs, want = [], {}
+    for n, (item, text) in enumerate(items):
+        said, host = text.split(), hosts[n % len(hosts)]
+        gone = set(random_.sample(range(len(said)), len(said) // 5))
+        changed = {"whole": said, "inserted": [x for i, w in enumerate(said) for x in (w, f"new{n}x{i}")],
+                   "replaced": [f"new{n}x{i}" if i in gone else w for i, w in enumerate(said)]}
+        for k, (how, copy) in enumerate(changed.items()):
+            docs.append((10 * n + k, " ".join([*host[:20], *copy, *host[20:]])))
+            want.setdefault(how, set()).add((10 * n + k, item))
+    got = {(r.doc_id, r.item_id) for r in D.contaminated_passages(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    share = {how: len(pairs & got) / len(pairs) for how, pairs in want.items()}
+    print(share)
+    assert share["whole"] == 1 and share["inserted"] >= 0.9 and share["replaced"] >= 0.9, share
