@@ -6,7 +6,8 @@ one smallest class, sorted by set size, are cut into blocks; a tile is a pair of
 bound the overlap from above, and only pairs that the bound admits reach the exact intersection of sorted arrays.
 
 A group of many copies with small changes shares most of its index entries, so before any tile its members are
-compared with a few of them; tiles then look only at pairs whose classes are not connected yet.
+compared with a few of them: first every member with one, then with the others those that are not connected yet. Tiles look
+only at pairs whose classes are still unconnected.
 """
 
 from collections.abc import Iterator
@@ -19,7 +20,8 @@ from pyspark.sql.window import Window
 
 from tallyline.llm.components import components
 from tallyline.llm.text import WordHasher, byte_slices, list_array, mix, shingles, utf8
-from tallyline.session import materialize, numbered
+from tallyline.session import materialize, numbered, recorded_dirs
+from tallyline.sources import files
 
 SLICE_BYTES = 1 << 20
 #: Counters of the frequency table that orders n-grams. It is broadcast as one byte each, whatever the input.
@@ -280,6 +282,22 @@ def _with(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
     return pairs
 
 
+def one_partner(pairs: DataFrame) -> DataFrame:
+    """For each end of `pairs` (u, v) one pair, with the partner of the smallest hash: copies of one text mostly have one such
+    partner, so as many sets are compared as there are texts, and not as there are pairs."""
+    both = pairs.union(pairs.select("v", "u")).toDF("doc", "other")
+    best = both.groupBy("doc").agg(F.min(F.struct(F.xxhash64("other").alias("h"), "other"))["other"].alias("other"))
+    return best.select(F.least("doc", "other").alias("u"), F.greatest("doc", "other").alias("v")).distinct()
+
+
+def unconnected(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components; a node that `known` (node, component) lacks is its own."""
+    for end in ("u", "v"):
+        side = known.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+        pairs = pairs.join(side, end, "left")
+    return pairs.where(F.coalesce("of_u", "u") != F.coalesce("of_v", "v")).select("u", "v")
+
+
 class NgramJoin:
     """The join over one `numbered` table of texts. Only narrow rows are shuffled: the texts are read once more for each
     step, always from that table, so that a row has one number and one text in all of them."""
@@ -309,14 +327,24 @@ class NgramJoin:
         return self.rows.join(self.classes.select("row"), "row", "left_semi").select("doc", "size", "bits")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that are similar enough. Sets are made of those texts only that a pair asks for."""
-        pairs = materialize(pairs, "ngram-pairs")
+        """The pairs that are similar enough. Sets are made of those texts only that a pair asks for, and removed once the
+        links are written."""
+        spark = self.spark
+        with recorded_dirs() as made:
+            pairs = materialize(pairs, "ngram-pairs")
+            sets = self.sets(pairs)
+        joined = _with(pairs, sets, ["grams"]).select("u", "v", "grams_u", "grams_v")
+        links = materialize(joined.mapInArrow(_verify(self.percent), "u long, v long").distinct(), "ngram-links")
+        for path in made:
+            files.remove(spark, path)
+        return links
+
+    def sets(self, pairs: DataFrame) -> DataFrame:
+        """(doc, grams): the sorted sets of the texts in `pairs`, and of a few others."""
         ends = pairs.select(F.col("u").alias("doc")).union(pairs.select("v"))
         wanted = self.spark.sparkContext.broadcast(wanted_table(ends))
         texts = self.texts.where("doc is not null").select("doc", "text")
-        sets = materialize(texts.mapInArrow(_set_rows(self.width, wanted), "doc long, grams array<long>"), "ngram-sets")
-        joined = _with(pairs, sets, ["grams"]).select("u", "v", "grams_u", "grams_v")
-        return materialize(joined.mapInArrow(_verify(self.percent), "u long, v long").distinct(), "ngram-links")
+        return materialize(texts.mapInArrow(_set_rows(self.width, wanted), "doc long, grams array<long>"), "ngram-sets")
 
     def stars(self, entries: DataFrame, signatures: DataFrame) -> DataFrame:
         """Admitted pairs of each member of an entry with a few of them, picked by hash. The hashes may pick one member more
@@ -365,11 +393,17 @@ class NgramJoin:
         return dealt.groupBy("hub", "i", "j").applyInArrow(_tile(self.percent), "u long, v long").distinct()
 
     def links(self) -> DataFrame:
-        """Links that connect what all links connect."""
-        entries, signatures = self.entries(), self.signatures()
-        links = self.verified(self.stars(entries, signatures))
-        left = self.still_open(entries, links)
-        return links.union(self.verified(self.tiles(left, signatures))).distinct()
+        """Links that connect what all links connect. The tables they come from are removed once they are written."""
+        with recorded_dirs() as made:
+            entries, signatures = self.entries(), self.signatures()
+            pairs = materialize(self.stars(entries, signatures), "ngram-stars")
+            near = self.verified(one_partner(pairs))
+            links = near.union(self.verified(unconnected(pairs, components(near))))
+            left = self.still_open(entries, links)
+            whole = materialize(links.union(self.verified(self.tiles(left, signatures))).distinct(), "ngram-all-links")
+        for path in made[:-1]:
+            files.remove(self.spark, path)
+        return whole
 
     def members(self) -> DataFrame:
         """(row, doc, size, component_id) of every row; its own key without a set, null without a key."""

@@ -108,3 +108,19 @@ def test_components_of_a_path(spark):
     order = random.Random(1).sample(range(60), 60)
     df = spark.createDataFrame([*zip(order, order[1:]), (100, 101), (101, 101), (None, 5)], "u long, v long")
     assert rows(components(df), "node", "component") == sorted([*((i, 0) for i in range(60)), (100, 100), (101, 100)], key=repr)
+
+
+def test_words_that_differ_only_in_order_of_letters(spark):
+    """The two Thue-Morse words over a and b are one word to polynomials modulo 2^64, whatever their base."""
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(2048))
+    other = one.translate(str.maketrans("ab", "ba"))
+    df = spark.createDataFrame([(1, one), (2, other), (3, one.upper())], "doc_id long, text string")
+    assert rows(N.ngram_components(df), "doc_id", "n_shingles", "component_id") == [(1, 1, 1), (2, 1, 2), (3, 1, 1)]
+
+
+def test_one_partner_then_the_unconnected(spark):
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (4, 5)], "u long, v long")
+    first = {tuple(r) for r in N.one_partner(pairs).collect()}
+    assert len(first) <= 3 and {x for p in first for x in p} == {1, 2, 3, 4, 5}
+    known = spark.createDataFrame([(1, 1), (2, 1)], "node long, component long")
+    assert rows(N.unconnected(pairs, known), "u", "v") == [(1, 3), (2, 3), (4, 5)]
