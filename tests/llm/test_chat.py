@@ -65,3 +65,32 @@ def test_ties_nulls_and_empty_tables(spark):
     assert rows(out.select("id", chat.read_turns(F.col("formatted")).alias("t")).select("id", "t.text"), "id", "text") == sorted(
         [(1, ["n", "a", "a", "b"]), (2, []), (None, ["x"])], key=repr)
     assert chat.format_turns(df.where("id = 9"), "id", "seq").count() == 0
+
+
+def test_layouts_with_further_fields(spark):
+    """Fields that no layout names, plain or nested, and values of several types leave the layout known."""
+    got = turns(
+        spark, {"messages": [{"role": "user", "content": "q", "name": "n", "x y": {"z": [1, 2]}}], "id": 5},
+        {"prompt": "p", "response": None, "id": 1.5, "meta": {"a": [{"b": 1}], "c": {}}},
+        {"messages": [{"role": "user", "content": 5}, {"role": "assistant", "content": "z", "tools": []}]},
+        {"text": "t", "role": "r", "source": [{"a": 1}]}, {"instruction": "i", "output": "o", "input": "n", "id": 1},
+        {"messages": [{"role": "user"}], "id": 1}, {"messages": "text", "id": 1})
+    assert rows(got, "id", "layout", "role", "text") == sorted([
+        (0, "messages", "user", "q"), (1, "prompt", "user", "p"), (1, "prompt", "assistant", ""),
+        (2, "messages", "user", "5"), (2, "messages", "assistant", "z"), (3, "turn", "r", "t"),
+        (4, "instruction", "system", "i"), (4, "instruction", "user", "n"), (4, "instruction", "assistant", "o"),
+        (5, None, None, None), (6, None, None, None)], key=repr)
+
+
+def test_long_conversation(spark):
+    """Work in proportion to the turns: with spans cut from the start of the text, 16,000 turns took a minute."""
+    n = 64_000
+    said = spark.range(n).select(
+        F.lit(1).alias("id"), F.col("id").alias("seq"), F.lit(0).alias("place"),
+        F.when(F.col("id") % 2 == 1, "assistant").otherwise("user").alias("role"), F.concat(F.lit("é </s> "), "id").alias("text"))
+    out = chat.format_turns(said, "id", "seq")
+    row = out.select(chat.read_turns(F.col("formatted")).alias("turns"), "loss", "formatted",
+                     chat.loss_text(F.col("formatted"), F.col("loss")).alias("under")).first()
+    assert [t.text for t in row.turns] == [f"é </s> {i}" for i in range(n)]
+    assert row.under == "".join(f"é </s> {i}" for i in range(1, n, 2))
+    assert all(row.formatted[s.start:s.stop] == f"é <\\/s> {2 * i + 1}" for i, s in enumerate(row.loss))
