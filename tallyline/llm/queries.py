@@ -127,7 +127,8 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(kind: str) -> Column:
         return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", *[count(kind) for kind in pii.KINDS], _hex(joined(base)).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *[count(kind) for kind in pii.KINDS], _hex(joined(base)).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op9_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
