@@ -19,23 +19,28 @@ def check_limit(limit: int) -> None:
         raise ValueError("El límite no puede ser mayor a 100")
 
 
-def top_by_views(stats: DataFrame, limit: int = 10) -> DataFrame:
-    check_limit(limit)
-    return (
-        stats.where(F.col("total_views") > 0).select(*STATS)
-        .orderBy(F.desc("total_views"), "anime_id").limit(limit)
-    )
+def by_views(stats: DataFrame) -> DataFrame:
+    return stats.where(F.col("total_views") > 0).select(*STATS).orderBy(F.desc("total_views"), "anime_id")
 
 
-def top_by_rating(stats: DataFrame, limit: int = 10) -> DataFrame:
+def by_rating(stats: DataFrame) -> DataFrame:
     """Best average among items with enough raters."""
-    check_limit(limit)
     return (
         stats.where((F.col("average_rating") > 0) & (F.col("total_ratings") >= S.MIN_RATERS)).select(*STATS)
-        .orderBy(F.desc("average_rating"), F.desc("total_ratings"), "anime_id").limit(limit)
+        .orderBy(F.desc("average_rating"), F.desc("total_ratings"), "anime_id")
     )
 
 
+def top_by_views(stats: DataFrame, limit: int = 10) -> DataFrame:
+    check_limit(limit)
+    return by_views(stats).limit(limit)
+
+
+def top_by_rating(stats: DataFrame, limit: int = 10) -> DataFrame:
+    check_limit(limit)
+    return by_rating(stats).limit(limit)
+
+
 def shape_stats(stats: DataFrame) -> DataFrame:
     """Output form: missing counters are 0, an average of 0 is no average."""
     zero = F.lit(0).cast("long")

@@ -3,13 +3,16 @@
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyline import schemas as S
 from tallyline.operators import activity as A
 from tallyline.operators import catalog as K
 from tallyline.operators import classify as C
 from tallyline.operators import dead_letters as D
+from tallyline.operators import leaders as T
 from tallyline.operators import ledger as G
+from tallyline.operators import reports as R
 from tallyline.plans.project import ReadModel, check_deliveries
 from tallyline.session import materialize
 from tallyline.sources import event_log as L
@@ -20,6 +23,7 @@ MODEL = {
     "totals": Table(S.ITEM_TOTALS, ("anime_id",)),
     "ledger": Table(S.LEDGER, ("event_id",)),
     "dead_letters": Table(S.DEAD_LETTER, ("dlq_id",)),
+    "leaders": Table(S.LEADERS, ("list",)),
 }
 CATALOG = {"catalog": Table(S.CATALOG, (K.ID,))}
 
@@ -48,12 +52,36 @@ def _merge(tables: BucketedTables, manifest: Manifest, changes: Changes, checked
     change = materialize(A.totals_change(old, new), "totals")
     totals = tables.read(manifest, "totals", tables.touched("totals", change))
     tables.write(changes, "totals", A.merge_totals(totals, change))
+    _rank(tables, manifest, changes, change)
     tables.write(changes, "ledger", G.merge_ledger(ledger, G.ledger_entries(attempts)))
     letters = materialize(D.dead_letters(C.outstanding_failures(rejects, attempts, ledger)), "letters")
     there = tables.read(manifest, "dead_letters", tables.touched("dead_letters", letters)).select("dlq_id")
     tables.write(changes, "dead_letters", letters.join(there, "dlq_id", "left_anti"), add=True)
 
 
+def _rank(tables: BucketedTables, manifest: Manifest, changes: Changes, change: DataFrame) -> None:
+    """Bring the stored top lists up to the totals of this run; their floors are notes of its commit."""
+    changed = A.stats_of(tables.written(changes, "totals").join(change, "anime_id", "left_semi")).select(*R.STATS)
+    floors, rows = dict(manifest.notes.get("floors", {})), []
+    for name in T.LISTS:
+        kept = tables.read(manifest, "leaders").where(F.col("list") == name).where("anime_id is not null").select(*R.STATS)
+        best, floors[name] = T.updated(
+            name, kept, changed, lambda: A.stats_of(tables.current(manifest, changes, "totals")), floors)
+        rows += [(name, *[None] * len(R.STATS)), *[(name, *[row[c] for c in R.STATS]) for row in best]]
+    tables.write(changes, "leaders", tables.spark.createDataFrame(rows, S.LEADERS))
+    changes.notes["floors"] = floors
+
+
+def read_leaders(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The stored items of a top list, "views" or "rating", for its report: as good as all statistics for up to
+    MAX_REPORT_ROWS rows. A model that has no lists yet gives all statistics."""
+    tables = BucketedTables(spark, root, MODEL)
+    manifest = tables.manifest()
+    if name not in manifest.notes.get("floors", {}):
+        return A.stats_of(tables.read(manifest, "totals")).select(*R.STATS)
+    return tables.read(manifest, "leaders").where((F.col("list") == name) & F.col("anime_id").isNotNull()).select(*R.STATS)
+
+
 def catch_up(spark: SparkSession, log_path: str, root: str, now: datetime | None = None, buckets: int = 64) -> Manifest:
     """Bring the model under `root` up to the event log: a replay from the commit of the log that the model holds already.
 
@@ -79,7 +107,7 @@ def read_model(spark: SparkSession, root: str) -> ReadModel:
     """The model as of its last commit; statistics come from the stored totals."""
     tables = BucketedTables(spark, root, MODEL)
     manifest = tables.manifest()
-    activity, totals, ledger, letters = (tables.read(manifest, name) for name in MODEL)
+    activity, totals, ledger, letters = (tables.read(manifest, name) for name in ("activity", "totals", "ledger", "dead_letters"))
     return ReadModel(activity, A.stats_of(totals), ledger, letters)
 
 

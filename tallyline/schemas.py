@@ -84,6 +84,12 @@ ITEM_TOTALS = table_schema(
     " total_duration_seconds BIGINT, updated_at TIMESTAMP_NTZ"
 )
 
+# Items of the stored top lists; a row without an item says that the list is there.
+LEADERS = table_schema(
+    "list STRING, anime_id INT, total_clicks BIGINT, total_views BIGINT, total_ratings BIGINT, average_rating DOUBLE,"
+    " total_duration_seconds BIGINT"
+)
+
 LEDGER = table_schema(
     "event_id STRING, event_type STRING, aggregate_id STRING, status STRING, error_message STRING,"
     " processed_at TIMESTAMP_NTZ"

@@ -90,6 +90,10 @@ class BucketedTables:
         """The rows that took the place of others in this run."""
         return self.read(Manifest(0, changes.replaced, {}), name)
 
+    def current(self, manifest: Manifest, changes: Changes, name: str) -> DataFrame:
+        """A table as it will be after this run, rows that are only added left aside."""
+        return self.read(Manifest(0, {name: {**manifest.tables.get(name, {}), **changes.replaced.get(name, {})}}, {}), name)
+
     def _commit(self, manifest: Manifest, changes: Changes) -> bool:
         tables = {name: dict(own) for name, own in manifest.tables.items()}
         for name, own in changes.replaced.items():

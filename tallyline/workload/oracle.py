@@ -345,5 +345,5 @@ ORACLE["rebuild_unversioned"] = ORACLE["rebuild_read_model"]
 ORACLE |= {name: ORACLE[same] for name, same in {
     "bucketed_item_stats": "item_stats", "bucketed_ledger": "ledger", "bucketed_dead_letters": "dead_letters",
     "ingest_to_log": "ingest_commands", "bucketed_catalog": "upsert_catalog",
-    "catch_up_model": "rebuild_read_model",
+    "catch_up_model": "rebuild_read_model", "stored_top_by_views": "top_by_views", "stored_top_by_rating": "top_by_rating",
 }.items()}

@@ -16,7 +16,7 @@ from tallyline.operators import reports as R
 from tallyline.operators.versions import assign_versions
 from tallyline.plans import catalog as catalog_plan
 from tallyline.plans.ingest import ingest_commands, ingest_to_log
-from tallyline.plans.model import catch_up, read_catalog, read_model, update_catalog, update_model
+from tallyline.plans.model import catch_up, read_catalog, read_leaders, read_model, update_catalog, update_model
 from tallyline.plans.project import check_deliveries, project, read_read_model, rebuild_read_model, write_read_model
 from tallyline.session import materialize, run_dir
 from tallyline.sources import event_log as L
@@ -159,11 +159,15 @@ def incremental_ledger(spark, sf_dir):
 
 def _bucketed_model(spark, sf_dir):
     """An earlier run, then the rest, then all deliveries once more: three commits of a model in buckets."""
+    return read_model(spark, _bucketed_root(spark, sf_dir))
+
+
+def _bucketed_root(spark, sf_dir):
     root = run_dir(spark, "model")
     every = I.deliveries(spark, sf_dir)
     for part in (_before(every), _after(every), every):
         update_model(part, root, buckets=16)
-    return read_model(spark, root)
+    return root
 
 
 @registered("bucketed_item_stats")
@@ -171,6 +175,17 @@ def bucketed_item_stats(spark, sf_dir):
     return _bucketed_model(spark, sf_dir).item_stats.select(*R.STATS)
 
 
+@registered("stored_top_by_views")
+def stored_top_by_views(spark, sf_dir):
+    """From the list that the runs have kept, not from all statistics."""
+    return R.top_by_views(read_leaders(spark, _bucketed_root(spark, sf_dir), "views"))
+
+
+@registered("stored_top_by_rating")
+def stored_top_by_rating(spark, sf_dir):
+    return R.top_by_rating(read_leaders(spark, _bucketed_root(spark, sf_dir), "rating"))
+
+
 @registered("bucketed_ledger")
 def bucketed_ledger(spark, sf_dir):
     return _bucketed_model(spark, sf_dir).ledger.drop("processed_at")
