@@ -23,6 +23,8 @@ SLICE_BYTES = 1 << 20
 #: Hashed word dimensions and dimensions of the latent space: the size of what is broadcast, whatever the input.
 DIMS, RANK, SKETCH = 1 << 15, 32, 64
 DIM_BLOCK = 1 << 9
+#: Rows counted at a time.
+COUNTED_ROWS = 32
 #: Words of a passage in the decomposition; words of a search window and its step; step of an item's windows.
 PASSAGE, WINDOW, STEP, ITEM_STEP = 48, 24, 12, 4
 #: Least cosine in the latent space, and in the random projection.
@@ -61,13 +63,19 @@ def _flat(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many rows of a partition each dimension occurs; dimension -1 counts the rows with words."""
     total, rows_seen = np.zeros(DIMS, np.int64), 0
+    last = np.zeros(COUNTED_ROWS * DIMS, np.int32)
     for batch in batches:
-        if batch.num_rows:
-            words, rows = _flat(batch)
-            owner = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-            once = np.unique(owner * DIMS + (words % DIMS))
-            total += np.bincount(once % DIMS, minlength=DIMS)
-            rows_seen += int((np.diff(rows) > 0).sum())
+        words, rows = _flat(batch)
+        dims = (words % DIMS).astype(np.int64)
+        rows_seen += int((np.diff(rows) > 0).sum())
+        for low in range(0, batch.num_rows, COUNTED_ROWS):
+            own = rows[low:low + COUNTED_ROWS + 1]
+            part = dims[own[0]:own[-1]]
+            at = np.arange(len(part), dtype=np.int32)
+            place = np.repeat(np.arange(len(own) - 1) * DIMS, np.diff(own)) + part
+            # Of equal places the last one written stays, so each row counts a dimension once.
+            last[place] = at
+            total += np.bincount(part[last[place] == at], minlength=DIMS)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(total[at], rows_seen), pa.int64())],
@@ -231,6 +239,13 @@ def answer(text: str) -> str:
     return sentences[-1] if sentences else ""
 
 
+def marked(item: np.ndarray, region: np.ndarray) -> np.ndarray:
+    """Which words of a region may be an item's: all that are, and a few others."""
+    table = np.zeros(1 << 12, bool)
+    table[item & 0xFFF] = True
+    return table[region & 0xFFF]
+
+
 def common_subsequence(item: np.ndarray, region: np.ndarray) -> int:
     """Length of the longest common subsequence, with the item's places as bits of one number."""
     masks: dict[int, int] = {}
@@ -238,8 +253,8 @@ def common_subsequence(item: np.ndarray, region: np.ndarray) -> int:
         masks[w] = masks.get(w, 0) | 1 << i
     full = (1 << len(item)) - 1
     state = full
-    for w in region[np.isin(region, item)].tolist():
-        hit = state & masks[w]
+    for w in region[marked(item, region)].tolist():
+        hit = state & masks.get(w, 0)
         state = ((state + hit) | (state - hit)) & full
     return len(item) - state.bit_count()
 
@@ -310,7 +325,7 @@ def _alike(words: np.ndarray, rows: np.ndarray, block: Items, strong: float, wea
         stop = start + gap * len(wanted) + len(wanted) // 8 + slack
         a, b = max(int(rows[row]), start - slack), min(int(rows[row + 1]), stop)
         region = words[a:b]
-        if np.isin(region, wanted).sum() >= weak * len(wanted) and judge(wanted, block.answers[item], region, strong, weak)[2]:
+        if marked(wanted, region).sum() >= weak * len(wanted) and judge(wanted, block.answers[item], region, strong, weak)[2]:
             yield row, item, max(start, int(rows[row]))
 
 
@@ -356,20 +371,24 @@ def spans(item: np.ndarray, answer_: np.ndarray, region: np.ndarray, strong: flo
     The words of an item must stand within STRETCH times its length, so that a long text which only uses the same words
     over and over holds none of it. Places a part of the item apart are judged; of overlapping ones the best counts.
     """
-    width = max(STRETCH * len(item), len(item) + 2)
+    width, need = max(STRETCH * len(item), len(item) + 2), weak * len(item)
+    may = marked(item, region)
+    if may.sum() < need:
+        return
     if len(region) <= width:
         share, answered, bad = judge(item, answer_, region, strong, weak)
         if bad:
             yield 0, len(region), share, answered
         return
-    # The whole region bounds every place of it from above.
-    if common_subsequence(item, region) < weak * len(item):
-        return
     step = max(len(item) // 8, 1)
     starts = np.unique(np.append(np.arange(0, len(region) - width, step), len(region) - width))
-    known = np.concatenate([[0], np.cumsum(np.isin(region, item))])
+    known = np.concatenate([[0], np.cumsum(may)])
+    starts = starts[known[starts + width] - known[starts] >= need]
+    # The whole region bounds every place of it from above.
+    if not len(starts) or common_subsequence(item, region) < need:
+        return
     best: tuple[int, int, float, bool] | None = None
-    for start in starts[known[starts + width] - known[starts] >= weak * len(item)].tolist():
+    for start in starts.tolist():
         share, answered, bad = judge(item, answer_, region[start:start + width], strong, weak)
         if not bad:
             continue
