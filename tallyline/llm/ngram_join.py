@@ -221,16 +221,29 @@ def _tile(percent: int):
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         side, doc, size = (table.column(c).to_numpy() for c in ("side", "doc", "size"))
-        group, bits = table.column("component").to_numpy(), fold(table.column("bits").to_pylist())
+        group, bits = table.column("component").to_numpy(), table.column("bits").to_pylist()
+        length = np.array([len(b) for b in bits])
+        # A pair is compared at the length of its shorter bitmap: one length for the whole tile would fill up the large sets' bits.
+        levels, place = {}, {}
+        for short in np.unique(length).tolist():
+            at = np.flatnonzero(length >= short)
+            levels[short] = fold([bits[i] for i in at])
+            place[short] = np.full(len(bits), -1)
+            place[short][at] = np.arange(len(at))
         left = np.flatnonzero(side == 0)
         alone = key[1].as_py() == key[2].as_py()
         right = left if alone else np.flatnonzero(side == 1)
         us, vs = [], []
         for i in left:
-            at = right[(group[right] != group[i]) & ((right > i) | (not alone))]
-            at = at[bound_overlap(size[i], bits[i], size[at], bits[at]) >= overlap_needed(size[i], size[at], percent)]
-            us.append(np.full(len(at), doc[i]))
-            vs.append(doc[at])
+            fits = 100 * np.minimum(size[right], size[i]).astype(np.int64) >= percent * np.maximum(size[right], size[i]).astype(np.int64)
+            near = right[fits & (group[right] != group[i]) & ((right > i) | (not alone))]
+            shorter = np.minimum(length[near], length[i])
+            for short in np.unique(shorter).tolist():
+                at, matrix, where = near[shorter == short], levels[short], place[short]
+                most = bound_overlap(size[i], matrix[where[i]], size[at], matrix[where[at]])
+                at = at[most >= overlap_needed(size[i], size[at], percent)]
+                us.append(np.full(len(at), doc[i]))
+                vs.append(doc[at])
         u, v = (np.concatenate([np.empty(0, np.int64), *x]) for x in (us, vs))
         return pa.table({"u": pa.array(np.minimum(u, v), pa.int64()), "v": pa.array(np.maximum(u, v), pa.int64())})
 

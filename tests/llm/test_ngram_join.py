@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm.shared import documents, empty, frame, reordered, rows, words
@@ -124,3 +125,15 @@ def test_one_partner_then_the_unconnected(spark):
     assert len(first) <= 3 and {x for p in first for x in p} == {1, 2, 3, 4, 5}
     known = spark.createDataFrame([(1, 1), (2, 1)], "node long, component long")
     assert rows(N.unconnected(pairs, known), "u", "v") == [(1, 3), (2, 3), (4, 5)]
+
+
+def test_a_tile_of_small_and_large_sets():
+    """Unlike large sets stay apart beside a small one, whose bitmap is short; like ones are admitted."""
+    random_ = np.random.default_rng(8)
+    large = [random_.integers(0, 2**63, 3000).astype(np.uint64) for _ in range(20)]
+    sets = [np.arange(5, dtype=np.uint64), *large, np.concatenate([large[0][:2900], large[1][:100]])]
+    table = pa.table({"side": np.zeros(len(sets), np.int32), "doc": np.arange(len(sets)),
+                      "size": np.array([len(s) for s in sets], np.int32), "component": np.arange(len(sets)),
+                      "bits": pa.array([N.bitmap(s) for s in sets], pa.binary())})
+    key = tuple(pa.scalar(x) for x in (0, 0, 0))
+    assert N._tile(85)(key, table).to_pylist() == [{"u": 1, "v": 21}]
