@@ -372,7 +372,7 @@ class NgramJoin:
         pairs = (entries.join(centres, "gram").where("doc != centre")
                  .select(F.least("doc", "centre").alias("u"), F.greatest("doc", "centre").alias("v")).distinct())
         fits = F.least("size_u", "size_v") * 100 >= F.greatest("size_u", "size_v") * self.percent
-        sized = _with(pairs, signatures, ["size", "bits"]).where(fits)
+        sized = _with(_with(pairs, signatures, ["size"]).where(fits), signatures, ["bits"])
         return sized.select("u", "v", "size_u", "size_v", "bits_u", "bits_v").mapInArrow(
             _admit(self.percent), "u long, v long").distinct()
 
