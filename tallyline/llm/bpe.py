@@ -9,18 +9,19 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.llm import worker
 from tallyline.llm.text import byte_slices
 
 SLICE_BYTES = 1 << 20
 KEPT_WORDS = 300_000
 KEPT_PREFIXES = 300_000
+KEPT_PAIRS = 300_000
 LONGEST_KEPT = 48
 END = 256
 #: Letters and digits below U+0250, where lower case goes character by character and composition changes nothing.
@@ -126,6 +127,8 @@ class PrefixEncoder:
     def _fits(self, left: int, right: int) -> bool:
         fits = self.good.get((left, right))
         if fits is None:
+            if len(self.good) > KEPT_PAIRS:
+                self.good.clear()
             fits = self.good[left, right] = self.compatible(left, right)
         return fits
 
@@ -223,10 +226,9 @@ class WordBpe:
         return " ".join(map(self.token.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
 def coder_for(path: str) -> WordBpe:
     """One coder per Python worker, so that later tasks find its tables filled."""
-    return WordBpe(path)
+    return worker.kept(("bpe", path), lambda: WordBpe(path))
 
 
 def encode(texts: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyline.llm import worker
 from tallyline.llm.components import components
 from tallyline.llm.text import WordHasher, byte_slices, list_array, mix, shingles, utf8
 from tallyline.session import materialize, numbered, recorded_dirs
@@ -55,6 +56,7 @@ def _class_rows(width: int):
     """Set size, bitmap and a 128-bit digest of the set for each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.release()
         hasher = WordHasher()
         for batch in batches:
             for part in byte_slices(batch, "text", SLICE_BYTES):
@@ -77,6 +79,7 @@ def _counts(width: int, counters: int):
     """A partition's counts of hashed n-grams, in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.release()
         hasher, total = WordHasher(), np.zeros(counters, np.int64)
         for batch in batches:
             for part in byte_slices(batch, "text", SLICE_BYTES):
@@ -115,6 +118,7 @@ def _index_rows(width: int, percent: int, classes):
     """The index entries of each text: the first of its n-grams in the global order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.release()
         hasher, frequency = WordHasher(), classes.value
         for batch in batches:
             for part in byte_slices(batch, "text", SLICE_BYTES):
@@ -177,6 +181,7 @@ def _set_rows(width: int, wanted):
     """The sorted set of each wanted text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.release()
         hasher, table = WordHasher(), np.unpackbits(wanted.value, bitorder="little").astype(bool)
         for batch in batches:
             batch = batch.filter(pa.array(table[_place(batch.column("doc").to_numpy())]))

@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.llm import worker
 from tallyline.llm.text import NOT_LETTERS, WordHasher, byte_slices, list_array, utf8
 from tallyline.session import materialize
 
@@ -55,6 +56,7 @@ def features(hasher: WordHasher, part: pa.RecordBatch, column: str) -> tuple[np.
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker.release()
     hasher = WordHasher(NOT_LETTERS)
     for batch in batches:
         for part in byte_slices(batch, "text", SLICE_BYTES):
@@ -158,6 +160,7 @@ def score(texts: DataFrame, model: OrdinalModel, key: str = "doc_id", text: str
     names = [c for c in texts.columns if c not in ("severity", "rejected")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.release()
         hasher, known = WordHasher(NOT_LETTERS), shared.value
         for batch in batches:
             for part in byte_slices(batch, text, SLICE_BYTES):
