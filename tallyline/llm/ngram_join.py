@@ -292,6 +292,11 @@ def _verify(percent: int):
     return run
 
 
+def _shared(entries: DataFrame) -> DataFrame:
+    """The entries whose gram another one has, with n: how many have it."""
+    return entries.withColumn("n", F.count("*").over(Window.partitionBy("gram"))).where("n > 1")
+
+
 def _with(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
     """`columns` of both ends of each pair."""
     for end in "vu":
@@ -335,14 +340,18 @@ class NgramJoin:
     def entries(self) -> DataFrame:
         """(gram, doc, n) for index entries that at least two classes share; n: how many share it."""
         order = self.spark.sparkContext.broadcast(frequency_classes(self.texts, self.width, self.counters))
-        index = self.texts.mapInArrow(_index_rows(self.width, self.percent, order), "row long, grams array<long>")
-        entries = index.join(self.classes.select("row", "rep"), "row").select(F.explode("grams").alias("gram"), "rep")
-        shared = entries.withColumn("n", F.count("*").over(Window.partitionBy("gram")))
-        return materialize(shared.where("n > 1").select("gram", F.col("rep").alias("doc"), "n"), "ngram-entries")
-
-    def signatures(self) -> DataFrame:
-        """(doc, size, bits) of the classes."""
-        return self.rows.join(self.classes.select("row"), "row", "left_semi").select("doc", "size", "bits")
+        texts = self.texts.where("doc is not null").select("row", "text")
+        index = texts.mapInArrow(_index_rows(self.width, self.percent, order), "row long, grams array<long>")
+        # Most n-grams stand in one text: only what texts share is looked up in the classes, then counted by class.
+        shared = _shared(index.select(F.explode("grams").alias("gram"), "row")).drop("n")
+        classes = self.classes.select("row", F.col("rep").alias("doc"))
+        return materialize(_shared(shared.join(classes, "row").select("gram", "doc")), "ngram-entries")
+
+    def signatures(self, *keys: str) -> DataFrame:
+        """(doc, size, bits) of the texts, one row for each set of a doc, dealt by `keys` for a join on them: the bitmaps are
+        shuffled once."""
+        return (self.rows.where("size > 0 and doc is not null").select("doc", "size", "bits", "c1", "c2").repartition(*keys)
+                .dropDuplicates([*dict.fromkeys([*keys, "doc", "c1", "c2"])]).select("doc", "size", "bits"))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are similar enough. Sets are made of those texts only that a pair asks for, and removed once the
@@ -364,7 +373,7 @@ class NgramJoin:
         texts = self.texts.where("doc is not null").select("doc", "text")
         return materialize(texts.mapInArrow(_set_rows(self.width, wanted), "doc long, grams array<long>"), "ngram-sets")
 
-    def stars(self, entries: DataFrame, signatures: DataFrame) -> DataFrame:
+    def stars(self, entries: DataFrame) -> DataFrame:
         """Admitted pairs of each member of an entry with a few of them, picked by hash. The hashes may pick one member more
         than once, so an entry of at most STARS + 1 members has all but one of them as centres, which gives every pair."""
         orders = [F.struct(F.xxhash64(F.lit(i), "doc"), F.col("doc")) for i in range(STARS)]
@@ -377,6 +386,7 @@ class NgramJoin:
         pairs = (entries.join(centres, "gram").where("doc != centre")
                  .select(F.least("doc", "centre").alias("u"), F.greatest("doc", "centre").alias("v")).distinct())
         fits = F.least("size_u", "size_v") * 100 >= F.greatest("size_u", "size_v") * self.percent
+        signatures = self.signatures("doc")
         sized = _with(_with(pairs, signatures, ["size"]).where(fits), signatures, ["bits"])
         return sized.select("u", "v", "size_u", "size_v", "bits_u", "bits_v").mapInArrow(
             _admit(self.percent), "u long, v long").distinct()
@@ -395,9 +405,10 @@ class NgramJoin:
         return materialize(named.join(split.select("gram", "hub"), "gram").select("hub", "doc", "component").distinct(),
                            "ngram-open")
 
-    def tiles(self, entries: DataFrame, signatures: DataFrame) -> DataFrame:
-        """Pairs from all tiles. A member goes to the tiles of its block with every block whose sizes may match."""
-        rows = entries.join(signatures, "doc")
+    def tiles(self, entries: DataFrame) -> DataFrame:
+        """Pairs from all tiles. A member goes to the tiles of its block with every block whose sizes may match; it gets its
+        bitmap once its tiles are known."""
+        rows = entries.join(self.signatures("doc").select("doc", "size"), "doc")
         place = F.row_number().over(Window.partitionBy("hub").orderBy("size", "doc"))
         placed = materialize(rows.withColumn("block", F.floor((place - 1) / BLOCK).cast("int")), "ngram-placed")
         spans = placed.groupBy("hub", "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
@@ -407,18 +418,19 @@ class NgramJoin:
         pairs = a.join(b, near).select(F.col("a.hub").alias("hub"), F.col("a.block").alias("i"), F.col("b.block").alias("j"))
         ends = pairs.select("hub", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side")).union(
             pairs.where("i != j").select("hub", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side")))
-        dealt = placed.join(ends, ["hub", "block"]).select("hub", "i", "j", "side", "doc", "size", "component", "bits")
+        dealt = (placed.join(ends, ["hub", "block"]).join(self.signatures("doc", "size"), ["doc", "size"])
+                 .select("hub", "i", "j", "side", "doc", "size", "component", "bits"))
         return dealt.groupBy("hub", "i", "j").applyInArrow(_tile(self.percent), "u long, v long").distinct()
 
     def links(self) -> DataFrame:
         """Links that connect what all links connect. The tables they come from are removed once they are written."""
         with recorded_dirs() as made:
-            entries, signatures = self.entries(), self.signatures()
-            pairs = materialize(self.stars(entries, signatures), "ngram-stars")
+            entries = self.entries()
+            pairs = materialize(self.stars(entries), "ngram-stars")
             near = self.verified(one_partner(pairs))
             links = near.union(self.verified(unconnected(pairs, components(near))))
             left = self.still_open(entries, links)
-            whole = materialize(links.union(self.verified(self.tiles(left, signatures))).distinct(), "ngram-all-links")
+            whole = materialize(links.union(self.verified(self.tiles(left))).distinct(), "ngram-all-links")
         for path in made[:-1]:
             files.remove(self.spark, path)
         return whole

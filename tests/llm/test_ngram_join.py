@@ -137,3 +137,21 @@ def test_a_tile_of_small_and_large_sets():
                       "bits": pa.array([N.bitmap(s) for s in sets], pa.binary())})
     key = tuple(pa.scalar(x) for x in (0, 0, 0))
     assert N._tile(85)(key, table).to_pylist() == [{"u": 1, "v": 21}]
+
+
+def test_bitmaps_are_shuffled_once_for_each_join(spark, monkeypatch):
+    """No table but that of the rows carries bitmaps, and index entries are shuffled without their texts' other n-grams."""
+    tables, real = {}, N.materialize
+
+    def told(df, name, *rest):
+        tables.setdefault(name, []).append((df.columns, df._jdf.queryExecution().optimizedPlan().toString()))
+        return real(df, name, *rest)
+
+    monkeypatch.setattr(N, "materialize", told)
+    monkeypatch.setattr(N, "STARS", 1)
+    texts = varied(4)
+    got = N.ngram_components(spark.createDataFrame(texts, "doc_id long, text string"), width=4, percent=85)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == brute(texts, 4, 85)
+    assert [name for name, made in tables.items() if "bits" in made[0][0]] == ["ngram-rows"]
+    _, plan = tables["ngram-entries"][0]
+    assert "Join" in plan and plan.rindex("Generate explode") > plan.rindex("Join")
