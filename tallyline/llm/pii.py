@@ -1,13 +1,14 @@
 """Personal data in texts: spans that fixed rules find, and further ones that boosted trees select among candidates.
 
 Generators propose overlapping spans of looser formats than the rules allow. Trees score a candidate by format and context.
-They are fitted on a bounded sample: beside the rules' spans, each of these is written once more in a form that the rules
+They are fitted on all texts: beside the rules' spans, each of these is written once more in a form that the rules
 miss (spelled out, spaced, without its plus sign, run together with another number), where it stands, and the candidate
 that is exactly this form is a positive; every other candidate is a negative. Per kind the threshold is the lowest that
 reaches the wanted precision on held-out candidates.
 """
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -17,12 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm import boosting
-from tallyline.llm.text import byte_slices, utf8
+from tallyline.llm.text import byte_slices, list_array, utf8
+from tallyline.session import materialize
 
 SLICE_BYTES = 4 << 20
 KINDS = ("email", "ip", "card", "phone")
-#: Rows the trees are fitted on, about and at most, and candidates in them at most.
-FIT_ROWS, FIT_CANDIDATES = 20_000, 20_000
+#: One text of so many is held out for the thresholds.
+HELD_OUT = 4
+#: Decimals of a probability: thresholds are found from counts by probability.
+DECIMALS = 4
 
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -163,6 +167,9 @@ class PiiModel:
     trees: boosting.Boosted = field(default_factory=lambda: boosting.Boosted(0.0, ()))
     thresholds: tuple[float, ...] = (2.0,) * len(KINDS)
 
+    def probability(self, x: np.ndarray) -> np.ndarray:
+        return np.round(self.trees.probability(x), DECIMALS)
+
 
 class _Cover:
     """Which characters of a text some span has taken."""
@@ -188,7 +195,7 @@ def find(text: str, model: PiiModel) -> tuple[list[tuple[int, int, int]], list[t
     proposed = [c for c in candidates(text) if not cover.touches(c[0], c[2])]
     if not proposed:
         return base, []
-    p = model.trees.probability(np.array([features(text, *c) for c in proposed]))
+    p = model.probability(np.array([features(text, *c) for c in proposed]))
     added = []
     for i in np.argsort(-p, kind="stable"):
         start, kind, stop = proposed[i]
@@ -213,42 +220,55 @@ def _texts(part: pa.RecordBatch) -> Iterator[str | None]:
         yield text if text and (may or " dot " in text) else None
 
 
+FIT_ROW = "x array<int>, y boolean, kind int, loose boolean, held boolean"
+
+
 def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`labelled` of every text. Texts are held out whole, copies of one text alike."""
     for batch in batches:
-        rows = [r for part in byte_slices(batch, "text", SLICE_BYTES) for text in filter(None, _texts(part))
-                for r in labelled(text, base_spans(text))]
-        x, y, kind, loose = zip(*rows, strict=True) if rows else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.bool_()), pa.array(kind, pa.int32()), pa.array(loose, pa.bool_())],
-            names=["x", "y", "kind", "loose"])
+        for part in byte_slices(batch, "text", SLICE_BYTES):
+            rows = [(*r, held) for text in filter(None, _texts(part))
+                    for held in [zlib.crc32(text.encode()) % HELD_OUT == 0] for r in labelled(text, base_spans(text))]
+            if rows:
+                x, y, kind, loose, held = zip(*rows, strict=True)
+                x = np.array(x, np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [list_array(x.ravel(), np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(y, pa.bool_()),
+                     pa.array(kind, pa.int32()), pa.array(loose, pa.bool_()), pa.array(held, pa.bool_())],
+                    names=["x", "y", "kind", "loose", "held"])
+
+
+def _probabilities(model: PiiModel):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, -1)
+                yield pa.RecordBatch.from_arrays([batch.column("kind"), pa.array(model.probability(x)), batch.column("y"), batch.column("n")],
+                                                 names=["kind", "p", "y", "n"])
+
+    return run
 
 
-def fit(texts: DataFrame, key: str = "doc_id", text: str = "text", precision: float = 0.95, least: float = 0.5,
-        fit_rows: int = FIT_ROWS, fit_candidates: int = FIT_CANDIDATES) -> PiiModel:
-    """Fit on about `fit_rows` rows chosen by the hash of their key, and at most `fit_candidates` candidates of them.
+def fit(texts: DataFrame, text: str = "text", precision: float = 0.95, least: float = 0.5) -> PiiModel:
+    """Fit on the candidates of all texts but those held out, every fourth by the hash of the text.
 
-    Every fourth candidate is held out. The threshold of a kind is the lowest at which, of the held-out candidates that the
+    The threshold of a kind is the lowest at which, of all held-out candidates that the
     rules miss, at least `precision` are positive, one more false one assumed, and no lower than `least`. How common rewritten forms are is unknown:
     the precision is that of a text with as many of them as the rules find.
     """
-    rows = max(texts.count(), 1)
-    share = int(min(1.0, fit_rows / rows) * (1 << 30))
-    chosen = texts.where(F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)) < share)
-    found = chosen.select(F.col(text).alias("text")).mapInArrow(_fit_rows, "x array<double>, y boolean, kind int, loose boolean")
-    found = found.orderBy(F.xxhash64("x"), "y").limit(fit_candidates).toArrow()
-    if not found.num_rows:
-        return PiiModel()
-    x = np.array(found.column("x").to_pylist())
-    y, kind = found.column("y").to_numpy().astype(float), found.column("kind").to_numpy()
-    held = np.arange(len(y)) % 4 == 0
-    trees = boosting.fit(x[~held], y[~held])
-    p = trees.probability(x[held])
+    found = texts.select(F.col(text).alias("text")).mapInArrow(_fit_rows, FIT_ROW)
+    rows = materialize(found.groupBy(*found.columns).agg(F.count("*").alias("n")), "pii-rows")
+    model = PiiModel(boosting.fit_table(rows.where("not held")))
+    scored = rows.where("held and loose").mapInArrow(_probabilities(model), "kind int, p double, y boolean, n long")
+    counts = scored.groupBy("kind", "p").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("y"), F.col("n")).otherwise(0)).alias("right")).toArrow()
+    kind, p, n, right = (counts.column(c).to_numpy() for c in ("kind", "p", "n", "right"))
     thresholds = []
     for k in range(len(KINDS)):
-        of_kind = (kind[held] == k) & found.column("loose").to_numpy()[held]
+        own = kind == k
         thresholds.append(max(least, boosting.lowest_threshold(
-            np.append(p[of_kind], 1.0), np.append(y[held][of_kind], 0.0), precision)))
-    return PiiModel(trees, tuple(thresholds))
+            np.append(p[own], 1.0), np.append(right[own], 0), precision, np.append(n[own], 1))))
+    return PiiModel(model.trees, tuple(thresholds))
 
 
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("base", pa.bool_()),

@@ -113,3 +113,31 @@ def test_numbers_run_together():
     text = "call +1 (269) 555-3296 4524132264652876 now"
     assert pii.base_spans(text) == []
     assert {(5, 3, 22), (23, 2, 39)} <= set(pii.candidates(text))
+
+
+def test_tables_are_fitted_alike_in_the_driver_and_on_spark(spark, monkeypatch):
+    random_ = np.random.default_rng(5)
+    x = random_.integers(0, 40, (3000, 4))
+    y = (x[:, 0] > 12) & (x[:, 2] < 30) | (x[:, 3] == 7)
+    rows = spark.createDataFrame([(r.tolist(), bool(t), 1 + i % 3) for i, (r, t) in enumerate(zip(x, y, strict=True))],
+                                 "x array<int>, y boolean, n long")
+    here = boosting.fit_table(rows, rounds=3)
+    monkeypatch.setattr(boosting, "LOCAL_ROWS", 0)
+    there = boosting.fit_table(rows, rounds=3)
+    assert (here.probability(x) == there.probability(x)).all()
+    assert ((here.probability(x) > 0.5) == y).mean() > 0.9
+
+
+def test_every_candidate_counts(spark, monkeypatch):
+    """More candidates than any sample of 20,000: all held-out ones reach the thresholds, all others the trees."""
+    texts = [" and ".join(f"{(i * 4 + k) * 7919 % 10**8 + 10**13:015d}" for k in range(4)) + " 10.0.0.1" for i in range(6000)]
+    all_rows = [(t, r) for t in texts for r in pii.labelled(t, pii.base_spans(t))]
+    held = sum(pii.zlib.crc32(t.encode()) % pii.HELD_OUT == 0 for t, r in all_rows if r[3])
+    seen, real = [], boosting.lowest_threshold
+    monkeypatch.setattr(boosting, "lowest_threshold", lambda p, y, precision, n: seen.append(n.sum() - 1) or real(p, y, precision, n))
+    fitted = []
+    real_fit = boosting.fit_table
+    monkeypatch.setattr(boosting, "fit_table", lambda rows: fitted.append(rows.groupBy().sum("n").first()[0]) or real_fit(rows, rounds=2))
+    pii.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert len(all_rows) > 20_000 and sum(seen) == held
+    assert fitted == [sum(pii.zlib.crc32(t.encode()) % pii.HELD_OUT != 0 for t, _ in all_rows)]
